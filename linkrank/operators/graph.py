@@ -84,22 +84,24 @@ def adjacency(graph: LinkGraph, ranks: DataFrame | None = None, page_type: str =
     ``links_per_row`` links takes several rows, all but one marked ``continued``, so
     that no list outgrows a task.
     """
-    nodes = graph.nodes.select(
-        F.col("title").alias("src"),
-        F.greatest(F.ceil(F.col("out_degree") / links_per_row), F.lit(1)).cast("int").alias("splits"),
+    splits = F.greatest(F.ceil(F.col("out_degree") / links_per_row), F.lit(1)).cast("int")
+    nodes = graph.nodes.select(F.col("title").alias("src"), splits.alias("splits"))
+    long_pages = graph.nodes.where(F.col("out_degree") > links_per_row)
+    long_pages = broadcast_if_small(
+        long_pages.select(F.col("title").alias("src"), splits.alias("splits"))
     )
     if ranks is None:
         nodes = nodes.withColumn("rank", F.lit(NEGATIVE_INFINITY))
     else:
         nodes = nodes.join(ranks.select(F.col("title").alias("src"), "rank"), "src")
-    long_pages = broadcast_if_small(nodes.where(F.col("splits") > 1).select("src", "splits"))
     split = F.coalesce(F.pmod(F.xxhash64("dst"), F.col("splits")).cast("int"), F.lit(0))
     lists = (
         graph.edges.join(long_pages, "src", "left")
         .groupBy("src", split.alias("split"))
         .agg(F.collect_list("dst").alias("links"))
     )
-    return copy_to_splits(nodes).join(lists, ["src", "split"], "left").select(
+    rows = copy_to_splits(nodes).join(lists, ["src", "split"], "left")
+    return rows.where((F.col("split") == 0) | F.col("links").isNotNull()).select(
         F.col("src").alias("title"),
         F.lit(page_type).alias("type"),
         "rank",

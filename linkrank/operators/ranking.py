@@ -96,7 +96,9 @@ def _live_edges(nodes: DataFrame, edges: DataFrame, links: int, limit: int) -> D
     hot = stored(
         hot_keys(popular, "in_degree", limit), scratch_folder(edges.sparkSession, "hot-targets")
     )
-    copies = targets.join(F.broadcast(hot), "dst", "left").fillna(1, ["splits"])
+    copies = targets.join(F.broadcast(hot), "dst", "left").withColumn(
+        "splits", F.coalesce("splits", F.lit(1))
+    )
     return (
         split_rows(edges, "dst", "src", hot)
         .join(copy_to_splits(copies), ["dst", "split"], "left_semi")
@@ -138,7 +140,9 @@ def mass_per_target(sent: DataFrame) -> DataFrame:
 def receive_mass(tables: RankTables, state: DataFrame) -> DataFrame:
     """Phase 1: all vertices with the ``mass`` sent to them, 0 where nothing was sent."""
     received = mass_per_target(messages(tables, state)).withColumnRenamed("dst", "id")
-    return tables.vertices.join(received, "id", "left").fillna(0.0, ["mass"])
+    return tables.vertices.join(received, "id", "left").withColumn(
+        "mass", F.coalesce("mass", F.lit(0.0))
+    )
 
 
 def missing_mass(state: DataFrame) -> DataFrame:
@@ -188,7 +192,8 @@ def contributions(graph: LinkGraph, ranks: DataFrame, hot_rows: int = HOT_ROWS)
     return sent.select("src", "dst", "mass")
 
 
-# Width of a band of log masses: sums of exp() within a band stay well inside a double.
+# Width of a band of log masses: sums of exp() within a band stay well inside a double,
+# and the usual masses lie in the middle band, which needs no shift.
 _BAND = 512
 
 
@@ -198,7 +203,8 @@ def log_mass_sum(sent: DataFrame) -> DataFrame:
     Masses are first added up within bands of similar size, so one row per target and
     band is left to combine, relative to the highest band of the target.
     """
-    band = F.when(F.col("log_mass") > float("-inf"), F.floor(F.col("log_mass") / _BAND))
+    nearest = F.round(F.col("log_mass") / _BAND).cast("bigint")
+    band = F.when(F.col("log_mass") > float("-inf"), nearest)
     within = F.exp(F.col("log_mass") - F.col("band") * _BAND)
     per_band = sent.select("dst", "log_mass", band.alias("band")).groupBy("dst", "band").agg(
         F.sum(within).alias("mass")
