@@ -45,6 +45,7 @@ def rank_tables(graph: LinkGraph, hot_rows: int = HOT_ROWS) -> RankTables:
     if not graph.is_stored:
         graph = store_graph(graph)
     nodes, edges = graph.nodes, graph.edges
+    folder = scratch_folder(nodes.sparkSession, "tables")
     facts = nodes.agg(
         F.count("*").alias("n"),
         F.coalesce(F.sum("out_degree"), F.lit(0)).alias("links"),
@@ -59,34 +60,34 @@ def rank_tables(graph: LinkGraph, hot_rows: int = HOT_ROWS) -> RankTables:
 
     limit = hot_limit(facts["links"], hot_rows)
     live = _live_edges(nodes, edges, facts["links"], limit)
-    is_split = facts["most"] > limit
-    if is_split:
+    vertices = nodes.select(key("title").alias("id"), "title", "out_degree")
+    keys = ["src"]
+    if facts["most"] > limit:
+        keys = ["src", "split"]
         hot_sources = hot_keys(nodes.withColumnRenamed("title", "src"), "out_degree", limit)
         live = split_rows(live, "src", "dst", hot_sources)
-    keys = ["src", "split"] if is_split else ["src"]
-    live = (
-        live.select(key("src").alias("src"), key("dst").alias("dst"), *keys[1:])
-        .repartition(*keys)
-        .sortWithinPartitions(*keys)
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
+        splits = F.greatest(F.ceil(F.col("out_degree") / F.lit(limit)), F.lit(1)).cast("int")
+        vertices = vertices.withColumn("splits", splits)
 
+    # Both tables are written before they are kept in memory: what an executor loses is
+    # then read and shuffled again, not joined and counted again.
+    live = live.select(key("src").alias("src"), key("dst").alias("dst"), *keys[1:])
+    live = _kept(stored(live, f"{folder}/edges"), keys)
     live_degrees = live.groupBy(F.col("src").alias("id")).agg(F.count("*").alias("live_degree"))
-    vertices = nodes.select(key("title").alias("id"), "title", "out_degree")
-    columns = ["id", "title", "out_degree", F.coalesce("live_degree", F.lit(0)).alias("live_degree")]
-    if is_split:
-        splits = F.greatest(F.ceil(F.col("out_degree") / F.lit(limit)), F.lit(1)).cast("int")
-        columns.append(splits.alias("splits"))
-    vertices = (
-        vertices.join(live_degrees, "id", "left")
-        .select(*columns)
-        .repartition("id")
-        .sortWithinPartitions("id")
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    vertices = vertices.join(live_degrees, "id", "left").withColumn(
+        "live_degree", F.coalesce("live_degree", F.lit(0))
     )
+    vertices = _kept(stored(vertices, f"{folder}/vertices"), ["id"])
     return RankTables(vertices, live, keys, facts["n"])
 
 
+def _kept(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``df`` partitioned and sorted by ``keys``, in memory or on the executors' disks."""
+    return (
+        df.repartition(*keys).sortWithinPartitions(*keys).persist(StorageLevel.MEMORY_AND_DISK)
+    )
+
+
 def _live_edges(nodes: DataFrame, edges: DataFrame, links: int, limit: int) -> DataFrame:
     """The edges whose target is a node. Compared by title, so hashes cannot mix them up."""
     targets = nodes.select(F.col("title").alias("dst"))
@@ -122,13 +123,10 @@ def state_from_ranks(tables: RankTables, ranks: DataFrame) -> DataFrame:
 
 def messages(tables: RankTables, state: DataFrame) -> DataFrame:
     """``dst, mass``: the share of its rank that each vertex sends along each live edge."""
-    mass = (F.col("rank") / F.col("out_degree")).alias("mass")
-    columns = [F.col("id").alias("src"), mass]
-    if "split" in tables.keys:
-        columns.append(F.col("splits"))
-    senders = state.where("live_degree > 0").select(*columns)
+    senders = state.where("live_degree > 0")
     if "split" in tables.keys:
         senders = copy_to_splits(senders)
+    senders = senders.selectExpr("id AS src", *tables.keys[1:], "rank / out_degree AS mass")
     return tables.edges.join(senders, tables.keys).select("dst", "mass")
 
 
@@ -140,22 +138,26 @@ def mass_per_target(sent: DataFrame) -> DataFrame:
 def receive_mass(tables: RankTables, state: DataFrame) -> DataFrame:
     """Phase 1: all vertices with the ``mass`` sent to them, 0 where nothing was sent."""
     received = mass_per_target(messages(tables, state)).withColumnRenamed("dst", "id")
-    return tables.vertices.join(received, "id", "left").withColumn(
-        "mass", F.coalesce("mass", F.lit(0.0))
+    return tables.vertices.join(received, "id", "left").selectExpr(
+        *tables.vertices.columns, "coalesce(mass, 0D) AS mass"
     )
 
 
+def mass_reaching() -> Column:
+    """Aggregate over a state: the mass that its vertices send to vertices.
+
+    The live share of each vertex gives the sum without sending anything.
+    """
+    reaching = F.expr("CASE WHEN live_degree > 0 THEN rank * live_degree / out_degree END")
+    return F.coalesce(F.sum(reaching), F.lit(0.0))
+
+
 def missing_mass(state: DataFrame) -> DataFrame:
     """One row, ``missing_mass``: the probability that does not reach any vertex.
 
-    The live share of each vertex gives the total received without sending anything.
     Rounding must not push it below 0.
     """
-    reaching = F.col("rank") * F.col("live_degree") / F.col("out_degree")
-    total = F.coalesce(F.sum(reaching), F.lit(0.0))
-    return state.where("live_degree > 0").agg(
-        F.greatest(F.lit(0.0), 1 - total).alias("missing_mass")
-    )
+    return state.agg(F.greatest(F.lit(0.0), 1 - mass_reaching()).alias("missing_mass"))
 
 
 def jump_or_follow(mass: Column, missing: float, n: int, alpha: float = C.ALPHA) -> Column:

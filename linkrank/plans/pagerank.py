@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from linkrank import constants as C
@@ -16,6 +16,7 @@ from linkrank.operators.ranking import (
     damped,
     initial_state,
     jump_or_follow,
+    mass_reaching,
     missing_mass,
     rank_tables,
     receive_mass,
@@ -27,8 +28,8 @@ from linkrank.sources.snapshots import iteration_path, phase1_path, read_ranks
 
 log = logging.getLogger(__name__)
 
-# Given a state and the node count: the rank of a vertex as an expression of its mass.
-Update = Callable[[DataFrame, int], Callable[[Column], Column]]
+# The new rank of a vertex, from the mass it received and the mass missing in total.
+NewRank = Callable[[Column, float], Column]
 
 
 def pagerank_basic(graph: LinkGraph, end: int, start: int = 1, *, base_path: str | None = None,
@@ -41,12 +42,9 @@ def pagerank_basic(graph: LinkGraph, end: int, start: int = 1, *, base_path: str
     and a later ``start`` continues from there, or from ``ranks`` if given.
     """
 
-    def update(state: DataFrame, n: int) -> Callable[[Column], Column]:
-        return lambda mass: damped(mass, alpha)
-
     _check_range(start, end, base_path, ranks)
     tables = rank_tables(graph, hot_rows)
-    return _iterate(tables, start, end, 1.0, tables.n_vertices, update, base_path, ranks, False)
+    return _iterate(tables, start, end, 1.0, lambda mass, _: damped(mass, alpha), base_path, ranks)
 
 
 def pagerank_log(graph: LinkGraph, end: int, start: int = 1, *, nodes: int | None = None,
@@ -62,17 +60,16 @@ def pagerank_log(graph: LinkGraph, end: int, start: int = 1, *, nodes: int | Non
     ``keep_phase1`` also keeps the mass received in iteration i in ``iter{i}t``.
     """
 
-    def update(state: DataFrame, n: int) -> Callable[[Column], Column]:
-        missing = missing_mass(state).first()["missing_mass"]
-        log.info("missing mass %.12f", missing)
-        return lambda mass: jump_or_follow(mass, missing, n, alpha)
-
     _check_range(start, end, base_path, ranks)
     if nodes is not None and nodes < 1:
         raise ValueError(f"nodes must be at least 1, got {nodes}")
     tables = rank_tables(graph, hot_rows)
     n = nodes or max(tables.n_vertices, 1)
-    final = _iterate(tables, start, end, 1 / n, n, update, base_path, ranks, keep_phase1)
+
+    def new_rank(mass: Column, missing: float) -> Column:
+        return jump_or_follow(mass, missing, n, alpha)
+
+    final = _iterate(tables, start, end, 1 / n, new_rank, base_path, ranks, keep_phase1)
     return final.withColumn("log_rank", safe_ln(F.col("rank")))
 
 
@@ -83,9 +80,9 @@ def _check_range(start: int, end: int, base_path: str | None, ranks: DataFrame |
         raise ValueError("a later start needs base_path or ranks to continue from")
 
 
-def _iterate(tables: RankTables, start: int, end: int, initial_rank: float, n: int,
-             update: Update, base_path: str | None, ranks: DataFrame | None,
-             keep_phase1: bool) -> DataFrame:
+def _iterate(tables: RankTables, start: int, end: int, initial_rank: float, new_rank: NewRank,
+             base_path: str | None, ranks: DataFrame | None,
+             keep_phase1: bool = False) -> DataFrame:
     spark = tables.vertices.sparkSession
     folder = base_path or scratch_folder(spark, "ranks")
     try:
@@ -97,19 +94,25 @@ def _iterate(tables: RankTables, start: int, end: int, initial_rank: float, n: i
             else:
                 require_unique_titles(ranks)
             state = state_from_ranks(tables, ranks)
+        missing = missing_mass(state).first()["missing_mass"]
         for iteration in range(start, end + 1):
-            new_rank = update(state, n)
+            log.info("iteration %d, missing mass %.12f", iteration, missing)
             received = receive_mass(tables, state)
             if keep_phase1:
                 received = stored(received, phase1_path(folder, iteration))
             columns = list(tables.state_columns)
             if base_path is not None or iteration == end:
                 columns += ["title", F.lit(C.COMPLETED).alias("type")]
-            after = received.select(*columns, new_rank(F.col("mass")).alias("rank"))
+            after = received.select(*columns, new_rank(F.col("mass"), missing).alias("rank"))
+            # The sum for the next iteration is taken while the ranks are written. It stands
+            # on top of the plan, in the tasks that write, and Spark counts the result of
+            # such a task once however often it is tried.
+            sums = Observation()
+            after = after.observe(sums, mass_reaching().alias("reaching"))
             # The written table is what the next iteration reads: plans stay short and a
             # lost executor costs no more than its part of one iteration.
             state = stored(after, iteration_path(folder, iteration + 1))
-            log.info("iteration %d done", iteration)
+            missing = max(0.0, 1 - sums.get["reaching"])
     finally:
         tables.release()
     return state.select("title", "type", "rank")
