@@ -20,7 +20,8 @@ class RankTables:
     """A graph laid out for iterating.
 
     ``vertices(id, title, out_degree, live_degree[, splits])`` is partitioned by ``id``
-    and ``edges(src, dst[, split])`` by its ``keys``; both are kept for the whole run.
+    and ``edges(src, dst[, split])`` by its ``keys``, unless the graph is small; both are
+    kept for the whole run.
     ``edges`` holds the links between vertices only: what is sent to other targets is
     lost in every iteration, and ``live_degree`` says how much that is.
     """
@@ -41,7 +42,11 @@ class RankTables:
 
 
 def rank_tables(graph: LinkGraph, hot_rows: int = HOT_ROWS) -> RankTables:
-    """Lay out ``graph``: short keys, live edges, one shuffle of the edges for all iterations."""
+    """Lay out ``graph``: short keys, live edges, one shuffle of the edges for all iterations.
+
+    A graph with at most ``hot_rows`` links in all is left as it is read: one task could
+    handle it, and fixed partitions would only cost time.
+    """
     if not graph.is_stored:
         graph = store_graph(graph)
     nodes, edges = graph.nodes, graph.edges
@@ -72,12 +77,15 @@ def rank_tables(graph: LinkGraph, hot_rows: int = HOT_ROWS) -> RankTables:
     # Both tables are written before they are kept in memory: what an executor loses is
     # then read and shuffled again, not joined and counted again.
     live = live.select(key("src").alias("src"), key("dst").alias("dst"), *keys[1:])
-    live = _kept(stored(live, f"{folder}/edges"), keys)
+    live = stored(live, f"{folder}/edges")
+    is_large = facts["links"] > limit
+    live = _kept(live, keys) if is_large else live.persist()
     live_degrees = live.groupBy(F.col("src").alias("id")).agg(F.count("*").alias("live_degree"))
     vertices = vertices.join(live_degrees, "id", "left").withColumn(
         "live_degree", F.coalesce("live_degree", F.lit(0))
     )
-    vertices = _kept(stored(vertices, f"{folder}/vertices"), ["id"])
+    vertices = stored(vertices, f"{folder}/vertices")
+    vertices = _kept(vertices, ["id"]) if is_large else vertices.persist()
     return RankTables(vertices, live, keys, facts["n"])
 
 
