@@ -116,4 +116,4 @@ def test_targets_are_made_distinct_before_they_are_joined(graph, no_broadcast):
     assert "LeftAnti" in text
     # Two steps of deduplication, the first before any row of the edges is moved.
     assert text.index("LeftAnti") < text.index("HashAggregate")
-    assert text.count("HashAggregate(keys=[dst") == 2
+    assert text.count("HashAggregate(keys=[title") == 2
