@@ -7,11 +7,14 @@ PAGE_END = "</page>"
 
 # Marker of a namespace, and the patterns that cut a field out of a record.
 NAMESPACE_START = "<ns>"
-NAMESPACE_PATTERN = r"(?s)<ns>[\x00-\x20]*(.*?)[\x00-\x20]*</ns>"
+NAMESPACE_PATTERN = r"(?s)<ns>(.*?)</ns>"
 TITLE_PATTERN = r"(?s)<title>(.*?)</title>"
 BODY_PATTERN = r"(?s)<text[^>]*>(.*?)</text>"
 ARTICLE_NAMESPACE = "0"
 
+# Characters that do not count around a namespace: U+0000 to U+0020.
+BLANKS = "".join(map(chr, range(0x21)))
+
 # Marks of pages that are left out of the graph.
 REDIRECT_PATTERN = r"(?i)#REDIRECT\s*\[\[(.*?)\]\]"
 DISAMBIGUATION_PATTERN = r"(?i)\{\{disambig\w*\}\}"
@@ -20,6 +23,7 @@ STUB_TEMPLATE = "-stub}}"
 
 # Links inside wiki text and inside HTML.
 WIKI_LINK_PATTERN = r"(?s)\[\[(.*?)\]\]"
+LINK_END = "]]"
 HTML_LINK_PATTERN = r'<a href="([^"]*)"'
 SPECIAL_LINK_MARK = ":"
 LABEL_MARK = "|"
@@ -36,6 +40,15 @@ DISAMBIGUATION = "DISAMBIGUATION"
 STUB = "STUB"
 ARTICLE = "ARTICLE"
 
+# Further counters of the parse, and the counters of an iteration.
+TOTAL_PAGES = "TOTAL_PAGES"
+NO_LINKS = "NO_LINKS"
+NODES = "NODES"
+EDGES = "EDGES"
+MASS_MESSAGES_SENT = "MASS_MESSAGES_SENT"
+MASS_MESSAGES_RCVD = "MASS_MESSAGES_RCVD"
+MISSING_STRUCTURE = "MISSING_STRUCTURE"
+
 # States of a stored page. INVALID is never stored.
 INITIALIZED = "INITIALIZED"
 STRUCTURE = "STRUCTURE"

@@ -72,9 +72,19 @@ def normalize_title(text: Column) -> Column:
     return F.replace(unescape_entities(text), F.lit(" "), F.lit("_"))
 
 
-def link_spans(body: Column, pattern: str = C.WIKI_LINK_PATTERN) -> Column:
-    """Every raw link text in ``body``, in order, as an array."""
-    return F.regexp_extract_all(body, F.lit(pattern), F.lit(1))
+def link_spans(text: Column, pattern: str) -> Column:
+    """Every raw link in ``text`` that ``pattern`` captures, in order, as an array."""
+    return F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
+
+
+def wiki_link_spans(body: Column) -> Column:
+    """Every raw link in a wiki body.
+
+    What follows the last closing mark holds no link. It is left out, or each open mark
+    in it would send the pattern to the end of the text in vain.
+    """
+    rest = F.substring_index(body, C.LINK_END, -1)
+    return link_spans(F.left(body, F.length(body) - F.length(rest)), C.WIKI_LINK_PATTERN)
 
 
 def link_target(link: Column) -> Column:
@@ -89,7 +99,7 @@ def page_links(body: Column) -> Column:
     before the label is cut off, and entities are decoded last.
     """
     plain = F.filter(
-        link_spans(body), lambda link: ~F.contains(link, F.lit(C.SPECIAL_LINK_MARK))
+        wiki_link_spans(body), lambda link: ~F.contains(link, F.lit(C.SPECIAL_LINK_MARK))
     )
     targets = F.filter(F.transform(plain, link_target), lambda target: target != "")
     return F.transform(targets, normalize_title)

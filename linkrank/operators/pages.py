@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkrank import constants as C
-from linkrank.functions.text import link_spans, normalize_title, page_links
+from linkrank.functions.text import link_spans, normalize_title, page_links, wiki_link_spans
 
 _COUNTED_OUTCOMES = (
     C.NOT_ARTICLE,
@@ -22,7 +22,7 @@ _COUNTED_OUTCOMES = (
 
 def is_article(record: Column) -> Column:
     """No namespace at all, or the article namespace."""
-    namespace = F.regexp_extract(record, C.NAMESPACE_PATTERN, 1)
+    namespace = F.btrim(F.regexp_extract(record, C.NAMESPACE_PATTERN, 1), F.lit(C.BLANKS))
     return ~F.contains(record, F.lit(C.NAMESPACE_START)) | (namespace == C.ARTICLE_NAMESPACE)
 
 
@@ -100,7 +100,7 @@ def _one_row_each(pages: DataFrame, source: str, links: Column, name: str) -> Da
 
 def raw_links(classified: DataFrame) -> DataFrame:
     """``raw_title, link``: every link span of every article, unfiltered."""
-    spans = F.when(F.col("outcome") == C.ARTICLE, link_spans(F.col("body")))
+    spans = F.when(F.col("outcome") == C.ARTICLE, wiki_link_spans(F.col("body")))
     return _one_row_each(classified, "raw_title", spans, "link")
 
 
@@ -124,8 +124,8 @@ def parse_counters(parsed: DataFrame) -> DataFrame:
     """``metric, value``: pages seen, pages per fate, and articles without a link."""
     is_linkless = (F.col("outcome") == C.ARTICLE) & (F.size("links") == 0)
     counts = parsed.agg(
-        F.count("*").alias("TOTAL_PAGES"),
+        F.count("*").alias(C.TOTAL_PAGES),
         *[F.count_if(F.col("outcome") == name).alias(name) for name in _COUNTED_OUTCOMES],
-        F.count_if(is_linkless).alias("NO_LINKS"),
+        F.count_if(is_linkless).alias(C.NO_LINKS),
     )
     return counts.unpivot([], counts.columns, "metric", "value")

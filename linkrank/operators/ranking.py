@@ -64,21 +64,24 @@ def rank_tables(graph: LinkGraph, hot_rows: int = HOT_ROWS) -> RankTables:
         key = F.col
 
     limit = hot_limit(facts["links"], hot_rows)
-    live = _live_edges(nodes, edges, facts["links"], limit)
+    is_large = facts["links"] > limit
     vertices = nodes.select(key("title").alias("id"), "title", "out_degree")
+    live = _live_edges(
+        vertices,
+        edges.select(key("src").alias("src"), key("dst").alias("dst"), F.col("dst").alias("title")),
+        limit if is_large else None,
+    )
     keys = ["src"]
     if facts["most"] > limit:
         keys = ["src", "split"]
-        hot_sources = hot_keys(nodes.withColumnRenamed("title", "src"), "out_degree", limit)
+        hot_sources = hot_keys(vertices.selectExpr("id AS src", "out_degree"), "out_degree", limit)
         live = split_rows(live, "src", "dst", hot_sources)
         splits = F.greatest(F.ceil(F.col("out_degree") / F.lit(limit)), F.lit(1)).cast("int")
         vertices = vertices.withColumn("splits", splits)
 
     # Both tables are written before they are kept in memory: what an executor loses is
     # then read and shuffled again, not joined and counted again.
-    live = live.select(key("src").alias("src"), key("dst").alias("dst"), *keys[1:])
     live = stored(live, f"{folder}/edges")
-    is_large = facts["links"] > limit
     live = _kept(live, keys) if is_large else live.persist()
     live_degrees = live.groupBy(F.col("src").alias("id")).agg(F.count("*").alias("live_degree"))
     vertices = vertices.join(live_degrees, "id", "left").withColumn(
@@ -96,11 +99,15 @@ def _kept(df: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def _live_edges(nodes: DataFrame, edges: DataFrame, links: int, limit: int) -> DataFrame:
-    """The edges whose target is a node. Compared by title, so hashes cannot mix them up."""
-    targets = nodes.select(F.col("title").alias("dst"))
-    if links <= limit:
-        return edges.join(targets, "dst", "left_semi")
+def _live_edges(vertices: DataFrame, edges: DataFrame, limit: int | None) -> DataFrame:
+    """``src, dst`` of the ``edges(src, dst, title)`` whose target is a vertex.
+
+    The key of the target leads, being quick to sort by, and the title decides, so that
+    equal hashes mix nothing up. Targets above ``limit`` are split.
+    """
+    targets = vertices.selectExpr("id AS dst", "title")
+    if limit is None:
+        return edges.join(targets, ["dst", "title"], "left_semi").select("src", "dst")
     popular = edges.groupBy("dst").agg(F.count("*").alias("in_degree"))
     hot = stored(
         hot_keys(popular, "in_degree", limit), scratch_folder(edges.sparkSession, "hot-targets")
@@ -110,8 +117,8 @@ def _live_edges(nodes: DataFrame, edges: DataFrame, links: int, limit: int) -> D
     )
     return (
         split_rows(edges, "dst", "src", hot)
-        .join(copy_to_splits(copies), ["dst", "split"], "left_semi")
-        .drop("split")
+        .join(copy_to_splits(copies), ["dst", "split", "title"], "left_semi")
+        .select("src", "dst")
     )
 
 
@@ -237,11 +244,12 @@ def iteration_counters(graph: LinkGraph) -> DataFrame:
 
     Every edge carries one message and every message arrives, even where no node waits.
     """
+    links = F.coalesce(F.sum("out_degree"), F.lit(0))
     nodes = graph.nodes.agg(
-        F.count("*").alias("NODES"), F.coalesce(F.sum("out_degree"), F.lit(0)).alias("EDGES")
-    ).select("NODES", "EDGES", F.col("EDGES").alias("MASS_MESSAGES_SENT"))
-    received = graph.edges.agg(F.count("*").alias("MASS_MESSAGES_RCVD"))
-    missing = missing_structure(graph).agg(F.count("*").alias("MISSING_STRUCTURE"))
+        F.count("*").alias(C.NODES), links.alias(C.EDGES), links.alias(C.MASS_MESSAGES_SENT)
+    )
+    received = graph.edges.agg(F.count("*").alias(C.MASS_MESSAGES_RCVD))
+    missing = missing_structure(graph).agg(F.count("*").alias(C.MISSING_STRUCTURE))
     tables = [df.unpivot([], df.columns, "metric", "value") for df in (nodes, received, missing)]
     return tables[0].unionAll(tables[1]).unionAll(tables[2])
 

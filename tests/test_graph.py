@@ -84,14 +84,14 @@ def read(spark, tmp_path, *lines):
 def test_adjacency_lines(spark, tmp_path):
     got = read(
         spark, tmp_path,
-        "HMS_Veteran\tINITIALIZED\t-Infinity\tfireship\tdestroyer\tfireship",
+        "Tea_pot\tINITIALIZED\t-Infinity\tkettle\tclay\tkettle",
         "Lonely\tCOMPLETED\t0.25",
         "Trailing\tMASS\t1e-3\ta\t\t",
         "Float\tSTRUCTURE\t-1.5f\ta",
         "\tINITIALIZED\tNaN\tx",
     ).collect()
     assert [(row["title"], row["type"], row["links"]) for row in got] == [
-        ("HMS_Veteran", "INITIALIZED", ["fireship", "destroyer"]),
+        ("Tea_pot", "INITIALIZED", ["kettle", "clay"]),
         ("Lonely", "COMPLETED", []),
         ("Trailing", "MASS", ["a"]),
         ("Float", "STRUCTURE", ["a"]),

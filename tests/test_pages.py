@@ -25,7 +25,7 @@ OUTCOMES = [
     (page(ns="<ns>1</ns><ns>0</ns>"), "NOT_ARTICLE"),
     (page(ns="<ns>0</ns><ns>1</ns>"), "ARTICLE"),
     (page(ns="<ns>0"), "NOT_ARTICLE"),
-    (page(ns="<ns> 0</ns>"), "NOT_ARTICLE"),
+    (page(ns="<ns>\u00a00</ns>"), "NOT_ARTICLE"),
     (page(title=""), "NO_TITLE"),
     (page(title="<title>T"), "NO_TITLE"),
     (page(title="</title><title>T"), "NO_TITLE"),

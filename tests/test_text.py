@@ -96,6 +96,14 @@ def test_null_stays_null_and_long_runs_decode(spark):
     assert got == [None, "A" * 50_000, "&" * 50_000, "x" * 200_000 + "<"]
 
 
+def test_large_bodies_take_linear_time(spark):
+    bodies = ["[[" * 300_000, "[[a]]" + "[[" * 300_000, "[[a]]" * 100_000, "x" * 3_000_000 + "[[b]]",
+              "[[" + "y" * 2_000_000 + "]]", "]" * 1_000_000]
+    got = one_column(spark, bodies, page_links)
+    assert [len(links) for links in got] == [0, 1, 100_000, 1, 1, 0]
+    assert got[4] == ["y" * 2_000_000]
+
+
 def test_normalising_replaces_each_space(spark):
     assert one_column(spark, ["a  b&nbsp;c &amp; d"], normalize_title) == ["a__b c_&_d"]
 
