@@ -5,11 +5,15 @@
 PAGE_START = "<page>"
 PAGE_END = "</page>"
 
-# Marker of a namespace, and the patterns that cut a field out of a record.
+# Marks that cut a field out of a record, and the title as a pattern for other markup.
 NAMESPACE_START = "<ns>"
-NAMESPACE_PATTERN = r"(?s)<ns>(.*?)</ns>"
+NAMESPACE_END = "</ns>"
+TITLE_START = "<title>"
+TITLE_END = "</title>"
 TITLE_PATTERN = r"(?s)<title>(.*?)</title>"
-BODY_PATTERN = r"(?s)<text[^>]*>(.*?)</text>"
+BODY_TAG = "<text"
+BODY_START = ">"
+BODY_END = "</text>"
 ARTICLE_NAMESPACE = "0"
 
 # Characters that do not count around a namespace: U+0000 to U+0020.
@@ -23,6 +27,7 @@ STUB_TEMPLATE = "-stub}}"
 
 # Links inside wiki text and inside HTML.
 WIKI_LINK_PATTERN = r"(?s)\[\[(.*?)\]\]"
+LINK_START = "[["
 LINK_END = "]]"
 HTML_LINK_PATTERN = r'<a href="([^"]*)"'
 SPECIAL_LINK_MARK = ":"

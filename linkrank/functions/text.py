@@ -80,11 +80,14 @@ def link_spans(text: Column, pattern: str) -> Column:
 def wiki_link_spans(body: Column) -> Column:
     """Every raw link in a wiki body.
 
-    What follows the last closing mark holds no link. It is left out, or each open mark
-    in it would send the pattern to the end of the text in vain.
+    What follows the last closing mark holds no link. If links open there it is left out,
+    or each of them would send the pattern to the end of the text in vain.
     """
     rest = F.substring_index(body, C.LINK_END, -1)
-    return link_spans(F.left(body, F.length(body) - F.length(rest)), C.WIKI_LINK_PATTERN)
+    closed = F.left(body, F.length(body) - F.length(rest))
+    return link_spans(
+        F.when(F.contains(rest, F.lit(C.LINK_START)), closed).otherwise(body), C.WIKI_LINK_PATTERN
+    )
 
 
 def link_target(link: Column) -> Column:

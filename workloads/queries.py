@@ -64,36 +64,39 @@ def scan_custom_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def filter_namespace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return wiki_records(spark, sf_dir).where(P.is_article(F.col("rec"))).select("p_partkey")
+    pages = P.with_namespace(wiki_records(spark, sf_dir))
+    return pages.where(P.is_article(F.col("rec"), F.col("namespace"))).select("p_partkey")
 
 
 def extract_title(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rec = F.col("rec")
-    return wiki_records(spark, sf_dir).select(
-        "p_partkey", P.has_title(rec).alias("has_title"), P.page_title(rec).alias("raw_title")
+    title = F.col("raw_title")
+    return P.with_title(wiki_records(spark, sf_dir)).select(
+        "p_partkey",
+        title.isNotNull().alias("has_title"),
+        F.coalesce(title, F.lit("")).alias("raw_title"),
     )
 
 
 def extract_body(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rec = F.col("rec")
-    return wiki_records(spark, sf_dir).select(
-        "p_partkey", P.has_body(rec).alias("has_body"), P.page_body(rec).alias("body")
+    body = F.col("body")
+    return P.with_body(wiki_records(spark, sf_dir)).select(
+        "p_partkey", body.isNotNull().alias("has_body"), F.coalesce(body, F.lit("")).alias("body")
     )
 
 
 def filter_redirect(spark: SparkSession, sf_dir: str) -> DataFrame:
-    body = P.page_body(F.col("rec"))
-    return wiki_records(spark, sf_dir).where(P.is_redirect(body)).select("p_partkey")
+    pages = P.with_body(wiki_records(spark, sf_dir))
+    return pages.where(P.is_redirect(F.col("body"))).select("p_partkey")
 
 
 def filter_disambiguation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    body = P.page_body(F.col("rec"))
-    return wiki_records(spark, sf_dir).where(P.is_disambiguation(body)).select("p_partkey")
+    pages = P.with_body(wiki_records(spark, sf_dir))
+    return pages.where(P.is_disambiguation(F.col("body"))).select("p_partkey")
 
 
 def filter_stub(spark: SparkSession, sf_dir: str) -> DataFrame:
-    body = P.page_body(F.col("rec"))
-    return wiki_records(spark, sf_dir).where(P.is_stub(F.col("rec"), body)).select("p_partkey")
+    pages = P.with_body(wiki_records(spark, sf_dir))
+    return pages.where(P.is_stub(F.col("rec"), F.col("body"))).select("p_partkey")
 
 
 def classify_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
