@@ -23,4 +23,4 @@ def create_output(folder: str, suffix: str):
     path = f"{folder}/{uuid.uuid4().hex}{suffix}"
     store, inner = fs.FileSystem.from_uri(path)
     store.create_dir(inner.rpartition("/")[0], recursive=True)
-    return path, store.open_output_stream(inner)
+    return path, store.open_output_stream(inner, compression=None)
