@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from linkrank.llm.lexicon import Lexicon, build
-from linkrank.llm.words import chunks, small_batches, vocabulary_text, words
+from linkrank.llm.words import BYTE_LETTERS, chunks, small_batches, vocabulary_text, words
 
 LEXICON_WORDS = 1 << 17
 COUNTER_WORDS = 400_000
@@ -33,13 +33,6 @@ _NEVER = 1 << 60
 _NO_RANK = (1 << 31) - 1
 
 
-def _byte_letters() -> dict[int, str]:
-    """The printable letter that stands for each byte in a byte-level vocabulary."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [byte for byte in range(256) if byte not in plain]
-    return {byte: chr(byte) for byte in plain} | {byte: chr(256 + i) for i, byte in enumerate(others)}
-
-
 class Merges:
     """Vocabulary and merge ranks of a word BPE file."""
 
@@ -57,7 +50,7 @@ class Merges:
         for rank, (a, b) in enumerate(model["merges"]):
             self.pairs[vocab[a], vocab[b]] = rank
             self.products.append(vocab[a + b])
-        letters = _byte_letters()
+        letters = BYTE_LETTERS
         self.inner = [vocab[letters[byte]] for byte in range(256)]
         self.last = [vocab[letters[byte] + self.suffix] for byte in range(256)]
         self.byte_of = {letter: byte for byte, letter in letters.items()}

@@ -6,26 +6,63 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from linkrank.llm.bpe import encode_documents
+from linkrank.llm.langid import languages
 from linkrank.llm.licenses import scan_licenses
 from linkrank.llm.mixing import mix_plan
+from linkrank.llm.token_files import token_digests, write_token_files
+from linkrank.llm.toxicity import toxicity_scores
+from linkrank.llm.warc import read_archives, write_archives
+from linkrank.session import scratch_folder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes all pages to archives and reads them back."""
+    archives = write_archives(_table(spark, sf_dir, "pages"), scratch_folder(spark, "warc"))
+    return read_archives(archives, payloads=False).drop("payload")
+
+
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes the ids of all documents to seekable files and reads them back."""
+    return token_digests(write_token_files(_table(spark, sf_dir, "documents"), scratch_folder(spark, "tokens")))
+
+
+def op5_bpe_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encodes and decodes all documents."""
+    return encode_documents(_table(spark, sf_dir, "documents"), ("ids_sha256", "decoded_sha256"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores all documents, after learning from the labels outside the held-out fold."""
+    return toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op7_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a mix of 150 % of all words takes of each document, in training order."""
     return mix_plan(_table(spark, sf_dir, "documents"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all documents, learnt outside the held-out fold."""
+    return languages(_table(spark, sf_dir, "documents"))
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence phrases and notices of each document."""
     return scan_licenses(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc_roundtrip": op1_warc_roundtrip,
+    "op2_token_files": op2_token_files,
+    "op5_bpe_lexicon": op5_bpe_lexicon,
+    "op6_toxicity": op6_toxicity,
     "op7_curriculum_mix": op7_curriculum_mix,
+    "op8_language_id": op8_language_id,
     "op9_license_scan": op9_license_scan,
 }
 

@@ -12,7 +12,9 @@ import bisect
 import os
 import struct
 import zlib
+from array import array
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from linkrank.llm.files import create_output, open_input
-from linkrank.llm.words import chunks, small_batches, vocabulary_text
+from linkrank.llm.words import chunks, letters, small_batches, vocabulary_text, words
 from linkrank.session import scratch_folder, stored
 
 # Marks of the seekable format.
@@ -33,7 +35,7 @@ CHECKSUMS = 0x80
 
 LEVEL = 3
 FILE_TOKENS = 1 << 24
-MEMO_CHUNKS = 300_000
+MEMO_PIECES = 400_000
 _ENTRY, _FOOTER = struct.Struct("<III"), struct.Struct("<IBI")
 
 
@@ -119,31 +121,50 @@ class TokenFileReader:
         return range(bisect.bisect_left(self._sorted, doc_id), bisect.bisect_right(self._sorted, doc_id))
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(content: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+class _LibraryEncoder:
+    """Encodes with the library: each distinct word by its model, rare texts as a whole."""
+
+    def __init__(self, content: str, kind: str, end: int):
+        from tokenizers import Tokenizer
+
+        self._tokenizer, self._kind = Tokenizer.from_str(content), kind
+        self._code = {"<u2": "H", "<u4": "I"}[kind]
+        self._end = np.array([end], dtype=kind).tobytes()
+        self._pieces: dict[str, bytes] = {}
+        self._words: dict[str, bytes] = {}
+
+    def _learn(self, pieces: set[str]) -> None:
+        for memo in (self._pieces, self._words):
+            if len(memo) > MEMO_PIECES:
+                memo.clear()
+        tokenize, code, known = self._tokenizer.model.tokenize, self._code, self._words
+        for piece in pieces.difference(self._pieces):
+            parts = []
+            for word in words(piece):
+                ids = known.get(word)
+                if ids is None:
+                    found = tokenize(letters(word))
+                    ids = known[word] = array(code, [token.id for token in found]).tobytes()
+                parts.append(ids)
+            self._pieces[piece] = parts[0] if len(parts) == 1 else b"".join(parts)
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text and the end id."""
+        split = [chunks(text or "") for text in texts]
+        self._learn(set(chain.from_iterable(found for found in split if found)))
+        out = []
+        for text, found in zip(texts, split, strict=True):
+            if found is None:
+                ids = np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, dtype=self._kind).tobytes()
+            else:
+                ids = b"".join(map(self._pieces.__getitem__, found))
+            out.append(ids + self._end)
+        return out
 
-    return Tokenizer.from_str(content), {}
 
-
-def _encoded(texts: list[str | None], content: str, kind: str, end: int) -> list[bytes]:
-    """Ids of each text and the end id. The library encodes each distinct piece between white space once."""
-    tokenizer, memo = _tokenizer(content)
-    if len(memo) > MEMO_CHUNKS:
-        memo.clear()
-    split = [chunks(text or "") for text in texts]
-    new = list({piece for found in split if found for piece in found}.difference(memo))
-    for piece, encoding in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-        memo[piece] = np.array(encoding.ids, dtype=kind).tobytes()
-    last, out = np.array([end], dtype=kind).tobytes(), []
-    for text, found in zip(texts, split, strict=True):
-        if found is None:
-            ids = np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype=kind).tobytes()
-        else:
-            ids = b"".join(map(memo.__getitem__, found))
-        out.append(ids + last)
-    return out
+@lru_cache(maxsize=2)
+def _encoder(content: str, kind: str, end: int) -> _LibraryEncoder:
+    return _LibraryEncoder(content, kind, end)
 
 
 def write_token_files(docs: DataFrame, folder: str, end_id: int = 2, vocabulary: str | None = None,
@@ -165,8 +186,9 @@ def write_token_files(docs: DataFrame, folder: str, end_id: int = 2, vocabulary:
     kind = f"<u{width}"
 
     def encode(batches):
+        encoder = _encoder(shared.value, kind, end_id)
         for batch in small_batches(batches, "text"):
-            ids = _encoded(batch.column("text").to_pylist(), shared.value, kind, end_id)
+            ids = encoder.encode(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), pa.array(ids, pa.binary()),
                 pa.array([len(raw) // width for raw in ids], pa.int64())], names=["doc_id", "ids", "n"])

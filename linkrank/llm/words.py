@@ -22,9 +22,19 @@ _NUMBERS = "".join(re.escape(c) for c in _LATIN if unicodedata.category(c)[0] ==
 _WORD = re.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\x09-\x0d\x20\x85\xa0{_LETTERS}{_NUMBERS}]+")
 
+#: The printable letter that stands for each byte in a byte-level vocabulary.
+_PLAIN = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_OTHERS = [byte for byte in range(256) if byte not in _PLAIN]
+BYTE_LETTERS = {byte: chr(byte) for byte in _PLAIN} | {byte: chr(256 + i) for i, byte in enumerate(_OTHERS)}
+
 BATCH_BYTES = 4 << 20
 
 
+def letters(word: str) -> str:
+    """A word as a byte-level vocabulary spells it."""
+    return word if word.isascii() and word.isalpha() else word.encode().decode("latin-1").translate(BYTE_LETTERS)
+
+
 def chunks(text: str) -> list[str] | None:
     """The lower-case pieces between white space, or None for a text that needs the library.
 
@@ -36,7 +46,11 @@ def chunks(text: str) -> list[str] | None:
 
 
 def words(chunk: str) -> list[str]:
-    """The words of one piece."""
+    """The words of one piece: letters alone, letters and a mark, or else what the pattern finds."""
+    if chunk.isalpha():
+        return [chunk]
+    if chunk[:-1].isalpha() and not chunk[-1].isalnum():
+        return [chunk[:-1], chunk[-1]]
     return _WORD.findall(chunk)
 
 
