@@ -6,8 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from linkrank.llm.ann import build_index, search
 from linkrank.llm.bpe import encode_documents
+from linkrank.llm.jaccard import similar_documents
 from linkrank.llm.langid import languages
+from linkrank.llm.lattice import near_duplicates
 from linkrank.llm.licenses import scan_licenses
 from linkrank.llm.mixing import mix_plan
 from linkrank.llm.token_files import token_digests, write_token_files
@@ -31,6 +34,17 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(write_token_files(_table(spark, sf_dir, "documents"), scratch_folder(spark, "tokens")))
 
 
+def op3_projected_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest of every fiftieth vector, among all."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    return search(build_index(vectors), vectors.where("vec_id % 50 = 0"))
+
+
+def op4_lattice_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors with equal labels."""
+    return near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op5_bpe_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encodes and decodes all documents."""
     return encode_documents(_table(spark, sf_dir, "documents"), ("ids_sha256", "decoded_sha256"))
@@ -56,14 +70,30 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(_table(spark, sf_dir, "documents"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents that share nine tenths of their word triples."""
+    return similar_documents(_table(spark, sf_dir, "documents"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the corpus pipeline."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_roundtrip": op1_warc_roundtrip,
     "op2_token_files": op2_token_files,
+    "op3_projected_neighbours": op3_projected_neighbours,
+    "op4_lattice_duplicates": op4_lattice_duplicates,
     "op5_bpe_lexicon": op5_bpe_lexicon,
     "op6_toxicity": op6_toxicity,
     "op7_curriculum_mix": op7_curriculum_mix,
     "op8_language_id": op8_language_id,
     "op9_license_scan": op9_license_scan,
+    "op10_jaccard_join": op10_jaccard_join,
+    "pipeline": pipeline,
 }
 
 ORACLES: dict[str, str] = {}
