@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from linkrank.llm.lexicon import Lexicon, build
 from linkrank.llm.words import BYTE_LETTERS, chunks, small_batches, vocabulary_text, words
 
-LEXICON_WORDS = 1 << 17
+LEXICON_WORDS = 1 << 16
 COUNTER_WORDS = 400_000
 MEMO_CHUNKS = 400_000
 LONG_WORD = 512
@@ -265,7 +265,7 @@ def compile_lexicon(docs: DataFrame, content: str, size: int = LEXICON_WORDS) ->
     spark: SparkSession = docs.sparkSession
     counts = docs.select("text").mapInArrow(_count_words, "word string, n long")
     frequent = counts.groupBy("word").agg(F.sum("n").alias("n")).where("n > 1")
-    frequent = frequent.orderBy(F.desc("n"), "word").limit(size).select("word").toPandas()["word"]
+    frequent = frequent.orderBy(F.desc("n"), "word").limit(size).select("word").toArrow().column("word").to_pylist()
     merges = Merges(content)
     frequent = [word.encode() for word in frequent]
     entries = {word: np.frombuffer(ids, dtype="<u4").tolist()

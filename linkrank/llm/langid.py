@@ -14,7 +14,7 @@ from linkrank.llm.sampling import fold, labelled_sample
 FOLDS, HELD_OUT = 4, 2
 UNKNOWN = "und"
 #: Documents of each language that the model is fitted on.
-SAMPLE_PER_CLASS = 1500
+SAMPLE_PER_CLASS = 700
 BUCKETS = 1 << 15
 DIMENSION = 12
 GRAMS = (2, 3, 4)
@@ -142,7 +142,7 @@ def train(docs: DataFrame, per_class: int = SAMPLE_PER_CLASS, buckets: int = BUC
         return LanguageModel((), np.zeros((buckets, 0), np.float32), np.zeros(0), 1.0, 0.0)
     data = []
     for lang, ids, counts in zip(*(table.column(c) for c in ("lang", "ids", "counts")), strict=True):
-        ids, counts = ids.values.to_numpy(), counts.values.to_numpy().astype(float)
+        ids, counts = ids.values.to_numpy(), counts.values.to_numpy()
         if len(ids):
             data.append((languages.index(lang.as_py()), ids, counts / counts.sum()))
     data.sort(key=lambda row: (row[1].tobytes(), row[2].tobytes(), row[0]))

@@ -15,8 +15,8 @@ from linkrank.llm.sampling import fold, labelled_sample, sigmoid
 
 FOLDS, HELD_OUT = 5, 0
 #: Rows of each class that the classifier is fitted on, and what it may hold.
-SAMPLE_PER_CLASS = 6000
-FEATURES = 1 << 13
+SAMPLE_PER_CLASS = 4000
+FEATURES = 1 << 11
 LEAST_DOCS = 3
 PREFIXES = (4, 5, 6)
 STEPS = 400
@@ -187,10 +187,12 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS,
                 "here": pa.array([numbers(words) for words in found], pa.list_(pa.int32())),
                 "there": pa.array([numbers(swapped(words)) for words in found], pa.list_(pa.int32()))})
 
-    table = rows.mapInArrow(vectors, "toxic int, here array<int>, there array<int>").collect()
-    table.sort(key=lambda row: (row.toxic, row.here, row.there))
-    weights, bias = fit([np.array(row.here, np.int64) for row in table], [np.array(row.there, np.int64) for row in table],
-                        np.array([row.toxic for row in table], float), len(names))
+    table = rows.mapInArrow(vectors, "toxic int, here array<int>, there array<int>").toArrow()
+    data = [(label.as_py(), here.values.to_numpy(), there.values.to_numpy()) for label, here, there in zip(
+        *(table.column(name) for name in ("toxic", "here", "there")), strict=True)]
+    data.sort(key=lambda row: (row[0], row[1].tobytes(), row[2].tobytes()))
+    weights, bias = fit([row[1] for row in data], [row[2] for row in data],
+                        np.array([row[0] for row in data], float), len(names))
     return ToxicityModel({name: float(weights[i]) for name, i in place.items() if weights[i]}, float(bias))
 
 
