@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from linkrank.llm.components import link_buckets
+from linkrank.llm.components import components
 from linkrank.llm.shingles import mix, shingle_sets
 from linkrank.llm.words import small_batches
 from linkrank.session import scratch_folder, stored
@@ -33,6 +33,9 @@ BAND_GROWTH = Fraction(7, 5)
 CHECK_COST = 20.0
 BATCH_BYTES = 2 << 20
 RECENT = 1 << 18
+#: Sets that are held against each other in one row, and shingles taken at a time.
+BLOCK_SETS = 192
+BLOCK_SHINGLES = 1 << 13
 
 
 @dataclass(frozen=True)
@@ -164,13 +167,88 @@ def _index(docs: DataFrame, words: int, bands: list[Band], least: Fraction) -> D
         entries, "key long, f1 long, f2 long")
 
 
+def _forest(near: np.ndarray) -> list[tuple[int, int]]:
+    """Links that connect what a symmetric matrix of links connects."""
+    left, out = np.ones(len(near), dtype=bool), []
+    for root in range(len(near)):
+        if not left[root]:
+            continue
+        left[root], todo = False, [root]
+        while todo:
+            at = todo.pop()
+            new = np.flatnonzero(near[at] & left)
+            left[new] = False
+            out += [(at, int(other)) for other in new]
+            todo += new.tolist()
+    return out
+
+
+def _common(sets: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each two of the sets share: products of slices of their incidence matrix."""
+    values, number = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    shared = np.bincount(number, minlength=len(values)) > 1
+    column = (np.cumsum(shared) - 1)[number]
+    held = shared[number]
+    owner, column = owner[held], column[held]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    total = np.zeros((len(sets), len(sets)), dtype=np.float32)
+    for start in range(0, int(shared.sum()), BLOCK_SHINGLES):
+        a, b = np.searchsorted(column, [start, start + BLOCK_SHINGLES])
+        part = np.zeros((len(sets), BLOCK_SHINGLES), dtype=np.float32)
+        part[owner[a:b], column[a:b] - start] = 1
+        total += part @ part.T
+    return total.astype(np.int64)
+
+
+def _family_links(buckets: DataFrame, shingles: DataFrame, least: Fraction) -> DataFrame:
+    """Links (a, b) that connect all sets of ``buckets`` (key, id) that are similar and share a key.
+
+    Sets that meet under some key, at once or through others, are a family. It is cut into
+    blocks; two blocks are a row, in which every two of their sets are compared and as many
+    links come out as connect them. So no two sets are a row of their own, however large a
+    group of near copies is.
+    """
+    spark = buckets.sparkSession
+    firsts = buckets.groupBy("key").agg(F.min("id").alias("a"))
+    families = components(buckets.join(firsts, "key").select("a", F.col("id").alias("b")))
+    sizes = families.groupBy("component").agg(F.ceil(F.count("*") / BLOCK_SETS).cast("int").alias("blocks"))
+    dealt = families.join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    packed = dealt.join(shingles.withColumnRenamed("doc_id", "id"), "id").groupBy("component", "block").agg(
+        F.first("blocks").alias("blocks"), F.collect_list(F.struct("id", "shingles")).alias("sets"))
+    packed = stored(packed, scratch_folder(spark, "families"))
+    left = packed.withColumn("other", F.explode(F.sequence("block", F.col("blocks") - 1)))
+    right = packed.select("component", F.col("block").alias("other"), F.col("sets").alias("others"))
+    pairs = left.join(right, ["component", "other"]).select(
+        "sets", F.when(F.col("block") != F.col("other"), F.col("others")).alias("others"))
+    number, of = least.numerator, least.denominator
+
+    def linked(batches):
+        for batch in batches:
+            found = []
+            for row in range(batch.num_rows):
+                blocks = [batch.column(name)[row].values for name in ("sets", "others") if batch.column(name)[row].is_valid]
+                ids = np.concatenate([block.field("id").to_numpy() for block in blocks])
+                sets = [s.values.to_numpy() for block in blocks for s in block.field("shingles")]
+                sizes = np.fromiter(map(len, sets), dtype=np.int64, count=len(sets))
+                common = _common(sets)
+                near = common * of >= (sizes[:, None] + sizes[None] - common) * number
+                np.fill_diagonal(near, False)
+                found += [(int(ids[i]), int(ids[j])) for i, j in _forest(near)]
+            yield pa.RecordBatch.from_pydict({
+                "a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+    return pairs.mapInArrow(linked, "a long, b long")
+
+
 def similar_documents(docs: DataFrame, words: int = SHINGLE_WORDS, least: Fraction = LEAST) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id reachable by links) of every row.
 
     Two documents link if their shingles' intersection is at least ``least`` of their union.
     Equal sets are one class from the start. Bands' segments follow from counts of all sets.
-    Entries are sorted by key, and only keys with several classes go on; candidates are
-    checked on all their shingles, until each is linked, refuted or already in one component.
+    Entries are sorted by key, and only keys with several classes go on; the sets that meet
+    are compared on all their shingles, block by block.
 
     Words are split at ASCII white space, A-Z in lower case. Null and empty texts and texts
     without words have no shingles and link with nothing, like rows without doc_id (their
@@ -200,7 +278,7 @@ def similar_documents(docs: DataFrame, words: int = SHINGLE_WORDS, least: Fracti
     met = index.withColumn("met", F.coalesce(differs(1), F.lit(False)) | F.coalesce(differs(-1), F.lit(False)))
     met = met.where("met").select("key", "f1", "f2").distinct()
     buckets = met.join(classes, ["f1", "f2"]).select(
-        "key", F.col("class").alias("id"), F.lit(True).alias("home"), "n_shingles")
+        "key", F.col("class").alias("id"))
     buckets = stored(buckets, f"{folder}/buckets")
 
     wanted = buckets.select(F.col("id").alias("doc_id")).distinct()
@@ -209,21 +287,10 @@ def similar_documents(docs: DataFrame, words: int = SHINGLE_WORDS, least: Fracti
         classes.select("f1", "f2", F.col("class").alias("doc_id")), ["f1", "f2", "doc_id"]).dropDuplicates(["doc_id"])
     shingles = stored(shingles.select("doc_id", "shingles"), f"{folder}/shingles")
 
-    def fits(x: str, y: str):
-        small, large = F.least(f"{x}.n_shingles", f"{y}.n_shingles"), F.greatest(f"{x}.n_shingles", f"{y}.n_shingles")
-        return small * least.denominator >= large * least.numerator
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        a = shingles.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
-        b = shingles.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
-        common = F.size(F.array_intersect("sa", "sb"))
-        checked = pairs.join(a, "a").join(b, "b").withColumn("common", common)
-        union = F.size("sa") + F.size("sb") - F.col("common")
-        return checked.where(F.col("common") * least.denominator >= union * least.numerator).select("a", "b")
-
-    linked = link_buckets(buckets, verify, fits).withColumnRenamed("id", "class")
+    linked = components(_family_links(buckets, shingles, least)).withColumnRenamed("id", "class").withColumnRenamed(
+        "component", "linked")
     told = classes.join(linked, "class", "left").select(
-        "f1", "f2", "n_shingles", F.coalesce("component", "class").alias("component_id"))
+        "f1", "f2", "n_shingles", F.coalesce("linked", "class").alias("component_id"))
     found = linkable.join(told, ["f1", "f2", "n_shingles"]).select("doc_id", "component_id")
     rows = sets.where(able).select("doc_id", "n_shingles").join(found, "doc_id")
     alone = sets.where(~able).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
