@@ -50,6 +50,7 @@ TOTAL_PAGES = "TOTAL_PAGES"
 NO_LINKS = "NO_LINKS"
 NODES = "NODES"
 EDGES = "EDGES"
+VERTICES = "VERTICES"
 MASS_MESSAGES_SENT = "MASS_MESSAGES_SENT"
 MASS_MESSAGES_RCVD = "MASS_MESSAGES_RCVD"
 MISSING_STRUCTURE = "MISSING_STRUCTURE"

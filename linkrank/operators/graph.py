@@ -50,10 +50,31 @@ def build_graph(raw_edges: DataFrame) -> LinkGraph:
     return LinkGraph(source_nodes(edges), edges)
 
 
+def title_rows(pages: DataFrame) -> DataFrame:
+    """One row per page: without the rows that only continue the links of a long one."""
+    return pages.where("NOT continued") if "continued" in pages.columns else pages
+
+
+def _with_rank(pages: DataFrame, ranks: DataFrame) -> DataFrame:
+    """``pages`` with the ``rank`` of their title; a page without one fails the job."""
+    given = title_rows(ranks).select("title", "rank")
+    rank = F.coalesce("rank", F.raise_error(F.concat(F.lit("no rank given for "), "title")).cast("double"))
+    return pages.join(given, "title", "left").withColumn("rank", rank)
+
+
 def graph_from_adjacency(adjacency: DataFrame) -> LinkGraph:
-    """The graph of adjacency rows. A title without links stays a node, of degree 0."""
-    links = adjacency.select("title", F.explode_outer("links").alias("dst")).distinct()
-    nodes = links.groupBy("title").agg(F.count("dst").alias("out_degree"))
+    """The graph of adjacency rows. A title without links stays a node, of degree 0.
+
+    A title that has two rows of its own, not counting continued ones, fails the job.
+    """
+    head = ~F.col("continued") if "continued" in adjacency.columns else F.lit(True)
+    rows = adjacency.select("title", head.alias("head"), F.posexplode_outer("links").alias("at", "dst"))
+    is_head = F.col("head") & (F.coalesce("at", F.lit(0)) == 0)
+    links = rows.groupBy("title", "dst").agg(F.count_if(is_head).alias("heads"))
+    nodes = links.groupBy("title").agg(F.count("dst").alias("out_degree"), F.sum("heads").alias("heads"))
+    repeated = F.raise_error(F.concat(F.lit("title occurs more than once: "), "title")).cast("bigint")
+    nodes = nodes.select("title", F.when(F.col("heads") > 1, repeated).otherwise(F.col("out_degree")).alias("out_degree"))
+    links = links.drop("heads")
     edges = links.where(F.col("dst").isNotNull()).withColumnRenamed("title", "src")
     return LinkGraph(nodes, edges, only_sources=False)
 
@@ -73,7 +94,7 @@ def store_graph(graph: LinkGraph, path: str | None = None) -> LinkGraph:
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast what a count shows to be small; leave the rest to a shuffled join."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    return F.broadcast(df) if df.count() <= max_rows else df
 
 
 def adjacency(graph: LinkGraph, ranks: DataFrame | None = None, page_type: str = C.INITIALIZED,
@@ -93,7 +114,7 @@ def adjacency(graph: LinkGraph, ranks: DataFrame | None = None, page_type: str =
     if ranks is None:
         nodes = nodes.withColumn("rank", F.lit(NEGATIVE_INFINITY))
     else:
-        nodes = nodes.join(ranks.select(F.col("title").alias("src"), "rank"), "src")
+        nodes = _with_rank(nodes.withColumnRenamed("src", "title"), ranks).withColumnRenamed("title", "src")
     split = F.coalesce(F.pmod(F.xxhash64("dst"), F.col("splits")).cast("int"), F.lit(0))
     lists = (
         graph.edges.join(long_pages, "src", "left")
@@ -126,20 +147,18 @@ def graph_summary(graph: LinkGraph) -> DataFrame:
 
 
 def type_histogram(pages: DataFrame) -> DataFrame:
-    """``type, pages``: stored pages per state."""
-    return pages.groupBy("type").agg(F.count("*").alias("pages"))
+    """``type, pages``: stored pages per state; a page in several rows counts once."""
+    return title_rows(pages).groupBy("type").agg(F.count("*").alias("pages"))
 
 
 def duplicate_titles(pages: DataFrame, title: str = "title") -> DataFrame:
     """``title, pages`` of the titles that occur more than once."""
-    counts = pages.groupBy(F.col(title).alias("title")).agg(F.count("*").alias("pages"))
+    counts = title_rows(pages).groupBy(F.col(title).alias("title")).agg(F.count("*").alias("pages"))
     return counts.where("pages > 1")
 
 
 def require_unique_titles(pages: DataFrame) -> None:
     """Fail if a title occurs twice; rows that continue a long page do not count."""
-    if "continued" in pages.columns:
-        pages = pages.where("NOT continued")
     example = duplicate_titles(pages).first()
     if example is not None:
         raise ValueError(f"title {example['title']!r} occurs {example['pages']} times")
@@ -162,7 +181,8 @@ def preview_graph(graph: LinkGraph, n: int = 0, ranks: DataFrame | None = None)
         pages = pages.orderBy("title").limit(n)
     edges = graph.edges.withColumnRenamed("src", "title")
     if n > 0:
-        edges = edges.join(broadcast_if_small(pages), "title", "left_semi")
+        chosen = F.broadcast(pages) if n <= BROADCAST_ROWS else pages
+        edges = edges.join(chosen, "title", "left_semi")
     first = Window.partitionBy("title").orderBy("dst")
     shown = (
         edges.withColumn("position", F.row_number().over(first))
@@ -180,5 +200,5 @@ def preview_graph(graph: LinkGraph, n: int = 0, ranks: DataFrame | None = None)
     if ranks is None:
         pages = pages.withColumn("rank", F.lit(NEGATIVE_INFINITY))
     else:
-        pages = pages.join(ranks.select("title", "rank"), "title")
+        pages = _with_rank(pages, ranks)
     return pages.join(shown, "title", "left").select("title", "rank", preview.alias("preview"))

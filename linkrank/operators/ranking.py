@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from linkrank import constants as C
-from linkrank.operators.graph import LinkGraph, missing_structure, require_unique_titles, store_graph
+from linkrank.operators.graph import LinkGraph, missing_structure, require_unique_titles, store_graph, title_rows
 from linkrank.operators.skew import HOT_ROWS, copy_to_splits, hot_keys, hot_limit, split_rows
 from linkrank.session import scratch_folder, stored
 
@@ -128,12 +128,16 @@ def initial_state(tables: RankTables, rank: float) -> DataFrame:
 
 
 def state_from_ranks(tables: RankTables, ranks: DataFrame) -> DataFrame:
-    """The state that ``ranks(title, rank)`` describes; each vertex must have a rank."""
-    rank = F.coalesce("rank", F.raise_error(F.concat(F.lit("no rank stored for "), "title")))
-    given = ranks.select("title", "rank")
-    return tables.vertices.join(given, "title", "left").select(
-        *tables.state_columns, rank.cast("double").alias("rank")
-    )
+    """The state that ``ranks(title, rank)`` describes; each vertex must have a rank.
+
+    A rank is finite and not negative; anything else fails the job.
+    """
+    given = title_rows(ranks).select("title", F.col("rank").cast("double").alias("rank"))
+    is_sound = (F.col("rank") >= 0) & (F.col("rank") < float("inf"))
+    found = F.coalesce(F.col("rank").cast("string"), F.lit("no rank"))
+    failure = F.raise_error(F.concat(F.lit("no rank stored for "), "title", F.lit(": "), found))
+    rank = F.when(is_sound, F.col("rank")).otherwise(failure.cast("double"))
+    return tables.vertices.join(given, "title", "left").select(*tables.state_columns, rank.alias("rank"))
 
 
 def messages(tables: RankTables, state: DataFrame) -> DataFrame:
@@ -187,7 +191,9 @@ def damped(mass: Column, alpha: float = C.ALPHA) -> Column:
 
 def contributions(graph: LinkGraph, ranks: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """``src, dst, mass`` of one round over titles, targets outside the graph included."""
-    senders = graph.nodes.join(ranks.select("title", "rank"), "title").select(
+    rank = F.coalesce("rank", F.raise_error(F.concat(F.lit("no rank given for "), "title")).cast("double"))
+    given = title_rows(ranks).select("title", "rank")
+    senders = graph.nodes.join(given, "title", "left").withColumn("rank", rank).select(
         F.col("title").alias("src"),
         "out_degree",
         (F.col("rank") / F.nullif("out_degree", F.lit(0))).alias("mass"),

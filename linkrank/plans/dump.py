@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from linkrank import constants as C
 from linkrank.operators.graph import LinkGraph, build_graph, store_graph
@@ -18,13 +19,20 @@ def parse_dump(spark: SparkSession, dump_path: str | list[str], work_path: str,
                start_tag: str = C.PAGE_START, end_tag: str = C.PAGE_END) -> LinkGraph:
     """Read a dump once and store what follows from it below ``work_path``.
 
-    ``pages`` holds the parsed pages, ``counters`` the counts over them, and ``graph``
-    the link graph, which is returned.
+    ``pages`` holds the parsed pages, ``graph`` the link graph, which is returned, and
+    ``counters`` the counts over both: pages by fate, vertices, links before they are
+    made distinct.
     """
     records = read_tagged_records(spark, dump_path, start_tag, end_tag)
     parsed = stored(parse_pages(records), f"{work_path}/pages")
-    write_counters(parse_counters(parsed), f"{work_path}/counters")
-    return store_graph(build_graph(page_edges(parsed)), f"{work_path}/graph")
+    graph = store_graph(build_graph(page_edges(parsed)), f"{work_path}/graph")
+    raw = parsed.agg(F.coalesce(F.sum(F.size("links")), F.lit(0)).alias(C.EDGES))
+    vertices = graph.nodes.agg(F.count("*").alias(C.VERTICES))
+    counters = parse_counters(parsed)
+    for table in (vertices, raw):
+        counters = counters.unionAll(table.unpivot([], table.columns, "metric", "value"))
+    write_counters(counters, f"{work_path}/counters")
+    return graph
 
 
 def dump_to_topk(spark: SparkSession, dump_path: str | list[str], iterations: int, k: int = C.TOP_K,

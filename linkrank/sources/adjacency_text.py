@@ -1,8 +1,7 @@
 """Adjacency lines as text: ``title \\t TYPE \\t rank [\\t link]*``.
 
-A line whose first link is empty continues the list of its title; such lines are
-written for pages with too many links for one line. No page links to an empty title,
-so plain files mean the same with or without this rule.
+Pages with too many links for one line take several; all but the first have an empty
+first link. Only a reader that asks for it takes that as the mark of a continued page.
 """
 
 from __future__ import annotations
@@ -21,16 +20,25 @@ def _failure(message: str, culprit: Column) -> Column:
     return F.raise_error(F.concat(F.lit(message + ": "), F.coalesce(culprit, F.lit("NULL"))))
 
 
-def read_adjacency_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``title, type, rank, links, continued``; a malformed line fails the job."""
+def unbroken(text: Column, breaks: str = _BREAKS) -> Column:
+    """``text``, which fails the job if a line could not hold it."""
+    return F.when(F.rlike(text, F.lit(breaks)), _failure("tab or line break in", text)).otherwise(text)
+
+
+def read_adjacency_text(spark: SparkSession, path: str | list[str], continued_pages: bool = False) -> DataFrame:
+    """``title, type, rank, links, continued``; a malformed line fails the job.
+
+    With ``continued_pages`` a line whose first link is empty continues its title's list;
+    without, an empty first link is a link and no row is continued.
+    """
     line = F.col("value")
     # A condition, not a column: it holds whatever columns the reader's user selects.
     is_sound = F.when(F.rlike(line, F.lit(_SOUND_LINE)), F.lit(True)).otherwise(
         _failure("malformed adjacency line", line).cast("boolean")
     )
     # Empty fields at the end of a line do not count.
-    fields = F.split(F.regexp_replace(line, r"\t+$", ""), "\t")
-    continued = F.coalesce(F.get("fields", F.lit(3)) == "", F.lit(False))
+    fields = F.split(F.regexp_replace(line, r"\t+\z", ""), "\t")
+    continued = F.coalesce(F.get("fields", F.lit(3)) == "", F.lit(False)) & F.lit(continued_pages)
     first_link = F.when(continued, 5).otherwise(4)
     return (
         spark.read.text(path)
@@ -53,14 +61,9 @@ def write_adjacency_text(adjacency: DataFrame, path: str) -> None:
         _failure("page type cannot be stored", F.col("type"))
     )
 
-    def unbroken(text: Column) -> Column:
-        return F.when(F.rlike(text, F.lit(_BREAKS)), _failure("tab or line break in", text)).otherwise(
-            text
-        )
-
     fields = F.concat(
         F.array(unbroken(F.col("title")), page_type, F.col("rank").cast("string")),
         F.when(F.col("continued"), F.array(F.lit(""))).otherwise(F.array().cast("array<string>")),
-        F.transform("links", unbroken),
+        F.transform("links", lambda link: unbroken(link)),
     )
     adjacency.select(F.array_join(fields, "\t").alias("value")).write.mode("overwrite").text(path)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linkrank.sources.adjacency_text import unbroken
+
 
 def write_counters(counters: DataFrame, path: str) -> None:
     """``metric, value`` rows as JSON lines in one file, replacing ``path``."""
@@ -19,16 +21,15 @@ def write_topk_text(top: DataFrame, path: str) -> None:
     """``title \\t rank`` lines in one file, in the order of ``top``, replacing ``path``.
 
     A top list has already been cut to k rows in one partition, so one file costs nothing.
+    A title with a line break fails the job.
     """
     title, rank = top.columns
-    line = F.concat_ws("\t", F.col(title), F.col(rank).cast("string"))
+    line = F.concat_ws("\t", unbroken(F.col(title), r"[\n\r]"), F.col(rank).cast("string"))
     top.select(line.alias("value")).coalesce(1).write.mode("overwrite").text(path)
 
 
 def read_topk_text(spark: SparkSession, path: str, rank: str = "rank") -> DataFrame:
     """``title`` and ``rank`` of a top list; a title may contain tabs."""
-    value = F.col("value")
-    return spark.read.text(path).select(
-        F.regexp_extract(value, r"^(.*)\t[^\t]*$", 1).alias("title"),
-        F.substring_index(value, "\t", -1).cast("double").alias(rank),
-    )
+    number = F.substring_index("value", "\t", -1)
+    title = F.left("value", F.length("value") - F.length(number) - 1)
+    return spark.read.text(path).select(title.alias("title"), number.cast("double").alias(rank))

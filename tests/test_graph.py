@@ -65,7 +65,7 @@ def test_adjacency_text_round_trip(spark, tmp_path, links_per_row):
     path = str(tmp_path / "adj")
     for _ in range(2):
         lr.write_adjacency_text(lr.adjacency(graph, ranks, "COMPLETED", links_per_row), path)
-    back = lr.read_adjacency_text(spark, path)
+    back = lr.read_adjacency_text(spark, path, continued_pages=True)
     lr.require_unique_titles(back)
     assert back.where("title = 'hub'").count() <= -(-40 // links_per_row)
     again = lr.graph_from_adjacency(back)
@@ -176,3 +176,60 @@ def test_intermediate_tables_live_in_the_named_folder(spark):
     assert scratch_folder(spark, "x") != scratch_folder(spark, "x")
     graph = lr.build_graph(spark.createDataFrame(EDGES, "src string, dst string"))
     assert all(folder in file for file in lr.store_graph(graph).edges.inputFiles())
+
+
+@pytest.fixture
+def long_pages(spark, tmp_path):
+    """A graph written with two links per line, and its ranks after one iteration."""
+    edges = [("hub", x) for x in "abcde"] + [(x, "hub") for x in "abc"]
+    graph = lr.build_graph(spark.createDataFrame(edges, "src string, dst string"))
+    path = str(tmp_path / "long")
+    lr.write_adjacency_text(lr.adjacency(graph, lr.pagerank_basic(graph, 1), "COMPLETED", 2), path)
+    return graph, lr.read_adjacency_text(spark, path, continued_pages=True)
+
+
+def test_rows_of_long_pages_do_not_change_results(long_pages):
+    graph, text = long_pages
+    assert text.where("continued").count() > 0
+    assert rows(lr.type_histogram(text)) == [("COMPLETED", 4)]
+    assert rows(lr.duplicate_titles(text)) == []
+    ranks = lr.pagerank_basic(graph, 1)
+    assert rows(lr.contributions(graph, text)) == rows(lr.contributions(graph, ranks))
+    assert rows(lr.preview_graph(graph, ranks=text)) == rows(lr.preview_graph(graph, ranks=ranks))
+    again = lr.pagerank_basic(lr.graph_from_adjacency(text), 2, start=2, ranks=text)
+    assert rows(again.select("title", F.round("rank", 12))) == rows(
+        lr.pagerank_basic(graph, 2).select("title", F.round("rank", 12)))
+
+
+def test_missing_repeated_and_unfit_ranks_fail(spark, long_pages):
+    graph, text = long_pages
+    few = spark.createDataFrame([("hub", 1.0)], "title string, rank double")
+    for report in (lr.adjacency(graph, few), lr.preview_graph(graph, ranks=few), lr.contributions(graph, few)):
+        with pytest.raises(Exception, match="no rank given"):
+            report.collect()
+    with pytest.raises(Exception, match="more than once"):
+        lr.graph_from_adjacency(text.union(text.where("title = 'a'"))).nodes.collect()
+    for bad in (float("nan"), -1.0, float("inf")):
+        unfit = text.where("NOT continued").select("title", F.lit(bad).alias("rank"))
+        with pytest.raises(Exception, match="no rank stored"):
+            lr.pagerank_basic(graph, 2, start=2, ranks=unfit)
+
+
+def test_texts_keep_rare_titles(spark, tmp_path):
+    titles = ["a\tb", "c\u0085", "d\u2028e", "\u2029"]
+    top = spark.createDataFrame([(t, float(i)) for i, t in enumerate(titles)], "title string, rank double")
+    lr.write_topk_text(top, str(tmp_path / "top"))
+    assert rows(lr.read_topk_text(spark, str(tmp_path / "top"))) == rows(top)
+    broken = spark.createDataFrame([("x\ny", 1.0)], "title string, rank double")
+    with pytest.raises(Exception, match="line break"):
+        lr.write_topk_text(broken, str(tmp_path / "broken"))
+    links = spark.createDataFrame([("p", "B"), ("p", "\u0085")], "src string, dst string")
+    lr.write_adjacency_text(lr.adjacency(lr.build_graph(links)), str(tmp_path / "links"))
+    back = lr.graph_from_adjacency(lr.read_adjacency_text(spark, str(tmp_path / "links")))
+    assert rows(back.edges.select("src", "dst")) == rows(links)
+
+
+def test_an_empty_first_link_is_a_link_unless_asked(spark, tmp_path):
+    (tmp_path / "t").write_text("p\tINITIALIZED\t0.5\t\tq\n")
+    row = lr.read_adjacency_text(spark, str(tmp_path / "t")).first()
+    assert (row.links, row.continued) == (["", "q"], False)

@@ -158,5 +158,6 @@ def test_dump_to_top_pages_keeps_what_it_stores(spark, tmp_path):
     assert [row["title"] for row in top.collect()] == ["C", "A", "B"]
     counters = {r["metric"]: r["value"] for r in lr.read_counters(spark, f"{work}/counters").collect()}
     assert (counters["TOTAL_PAGES"], counters["NOT_ARTICLE"]) == (7, 1)
+    assert (counters["VERTICES"], counters["EDGES"]) == (6, 10)
     assert lr.graph_summary(lr.read_graph(spark, f"{work}/graph")).first()["edges"] == 10
     assert lr.read_ranks(spark, f"{work}/ranks", 4).count() == 6

@@ -214,7 +214,7 @@ def adjacency_text_long_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     graph = succession_graph(spark, sf_dir)
     path = scratch_folder(spark, "adjacency")
     lr.write_adjacency_text(lr.adjacency(graph, links_per_row=2), path)
-    back = lr.read_adjacency_text(spark, path)
+    back = lr.read_adjacency_text(spark, path, continued_pages=True)
     lr.require_unique_titles(back)
     again = lr.store_graph(lr.graph_from_adjacency(back))
     return again.edges.join(again.nodes.withColumnRenamed("title", "src"), "src")
