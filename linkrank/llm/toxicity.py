@@ -22,7 +22,7 @@ PREFIXES = (4, 5, 6)
 STEPS = 400
 RATE = 0.3
 RIDGE = 1e-4
-COUNTERFACTUAL = 2.0
+COUNTERFACTUAL = 0.05
 COUNTER_FEATURES = 500_000
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -89,6 +89,9 @@ def fit(rows: list[np.ndarray], others: list[np.ndarray], labels: np.ndarray, n_
         steps: int = STEPS, counterfactual: float = COUNTERFACTUAL) -> tuple[np.ndarray, float]:
     """Weights and bias: logistic loss, a ridge, and the squared change of score under swaps.
 
+    The change is taken before the logistic function, where it counts even if other words
+    have already settled the score.
+
     ``rows`` and ``others`` hold the feature numbers of each document and of its swapped
     form. Full gradients with momentum; every operation has a fixed order, so reruns agree.
     """
@@ -109,16 +112,15 @@ def fit(rows: list[np.ndarray], others: list[np.ndarray], labels: np.ndarray, n_
     momentum, momentum_bias, n = np.zeros(n_features), 0.0, len(rows)
     scale = 1 / np.sqrt(1.0 + np.bincount(here, minlength=n_features) / n * 50)
     for _ in range(steps):
-        score = sigmoid(bias + np.bincount(owner, weights[here], n))
-        slope = (score - labels) / n
+        total = bias + np.bincount(owner, weights[here], n)
+        slope = (sigmoid(total) - labels) / n
         slope_other = np.zeros(n)
         if changed.any():
-            other = sigmoid(bias + np.bincount(other_owner, weights[there], n))
-            gap = np.where(changed, score - other, 0) * 2 * counterfactual / n
-            slope = slope + gap * score * (1 - score)
-            slope_other = -gap * other * (1 - other)
+            other = bias + np.bincount(other_owner, weights[there], n)
+            gap = np.where(changed, total - other, 0) * 2 * counterfactual / n
+            slope, slope_other = slope + gap, -gap
         gradient = np.bincount(here, slope[owner], n_features) + np.bincount(there, slope_other[other_owner], n_features)
-        gradient += RIDGE * weights / n * len(labels) ** 0.5
+        gradient = gradient + RIDGE * weights / n * len(labels) ** 0.5
         momentum = 0.9 * momentum + gradient * scale
         momentum_bias = 0.9 * momentum_bias + slope.sum() + slope_other.sum()
         weights, bias = weights - RATE * 100 * momentum, bias - RATE * momentum_bias
