@@ -13,6 +13,7 @@ from linkrank.llm.langid import languages
 from linkrank.llm.lattice import near_duplicates
 from linkrank.llm.licenses import scan_licenses
 from linkrank.llm.mixing import mix_plan
+from linkrank.llm.oracles import ORACLES
 from linkrank.llm.token_files import token_digests, write_token_files
 from linkrank.llm.toxicity import toxicity_scores
 from linkrank.llm.warc import read_archives, write_archives
@@ -82,6 +83,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
+__all__ = ["ORACLES", "QUERIES"]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_roundtrip": op1_warc_roundtrip,
     "op2_token_files": op2_token_files,
@@ -95,5 +98,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_jaccard_join": op10_jaccard_join,
     "pipeline": pipeline,
 }
-
-ORACLES: dict[str, str] = {}
