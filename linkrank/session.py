@@ -22,6 +22,8 @@ def shared_folder(spark: SparkSession) -> str:
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
+        if folder.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"spark.checkpoint.dir is {folder}, which each machine of a cluster has to itself")
         return folder.rstrip("/")
     if spark.sparkContext.master.startswith("local"):
         return _local_folder()
