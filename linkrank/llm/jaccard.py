@@ -33,8 +33,9 @@ BAND_GROWTH = Fraction(7, 5)
 CHECK_COST = 20.0
 BATCH_BYTES = 2 << 20
 RECENT = 1 << 18
-#: Sets that are held against each other in one row, and shingles taken at a time.
+#: Sets and their shingles that are held against each other in one row, and shingles taken at a time.
 BLOCK_SETS = 192
+BLOCK_MEMBERS = 1 << 20
 BLOCK_SHINGLES = 1 << 13
 
 
@@ -126,22 +127,18 @@ def _fingerprints(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, n
     return out[0], out[1]
 
 
-def document_sets(docs: DataFrame, words: int = SHINGLE_WORDS, with_sets: bool = False) -> DataFrame:
-    """doc_id, n_shingles and the set's fingerprint (f1, f2) of every row; with ``sets`` also its hashes."""
+def document_sets(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
+    """doc_id, n_shingles and the set's fingerprint (f1, f2) of every row."""
     def sets(batches):
         for batch in small_batches(batches, "text", BATCH_BYTES):
             hashes, counts = shingle_sets(batch.column("text").to_pylist(), words)
             f1, f2 = _fingerprints(hashes, counts)
-            columns = [batch.column("doc_id"), pa.array(counts), pa.array(f1), pa.array(f2)]
-            names = ["doc_id", "n_shingles", "f1", "f2"]
-            if with_sets:
-                ends = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
-                columns.append(pa.ListArray.from_arrays(ends, pa.array(hashes.view(np.int64))))
-                names.append("shingles")
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(counts), pa.array(f1), pa.array(f2)],
+                names=["doc_id", "n_shingles", "f1", "f2"])
 
-    schema = "doc_id long, n_shingles long, f1 long, f2 long" + (", shingles array<long>" if with_sets else "")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(sets, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+        sets, "doc_id long, n_shingles long, f1 long, f2 long")
 
 
 def _index(docs: DataFrame, words: int, bands: list[Band], least: Fraction) -> DataFrame:
@@ -202,26 +199,66 @@ def _common(sets: list[np.ndarray]) -> np.ndarray:
     return total.astype(np.int64)
 
 
-def _family_links(buckets: DataFrame, shingles: DataFrame, least: Fraction) -> DataFrame:
-    """Links (a, b) that connect all sets of ``buckets`` (key, id) that are similar and share a key.
+def _families(buckets: DataFrame, classes: DataFrame) -> DataFrame:
+    """The family (component) of every class of ``buckets`` (key, id), and its block of the family.
 
-    Sets that meet under some key, at once or through others, are a family. It is cut into
-    blocks; two blocks are a row, in which every two of their sets are compared and as many
-    links come out as connect them. So no two sets are a row of their own, however large a
-    group of near copies is.
+    Sets that meet under some key, at once or through others, are a family. Its blocks hold
+    about ``BLOCK_SETS`` sets and ``BLOCK_MEMBERS`` shingles.
     """
-    spark = buckets.sparkSession
     firsts = buckets.groupBy("key").agg(F.min("id").alias("a"))
     families = components(buckets.join(firsts, "key").select("a", F.col("id").alias("b")))
-    sizes = families.groupBy("component").agg(F.ceil(F.count("*") / BLOCK_SETS).cast("int").alias("blocks"))
+    families = families.join(classes.withColumnRenamed("class", "id"), "id")
+    sizes = families.groupBy("component").agg(F.greatest(
+        F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n_shingles") / BLOCK_MEMBERS)).cast("int").alias("blocks"))
     dealt = families.join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    packed = dealt.join(shingles.withColumnRenamed("doc_id", "id"), "id").groupBy("component", "block").agg(
+    return dealt.drop("n_shingles")
+
+
+def _packed_sets(docs: DataFrame, families: DataFrame, words: int) -> DataFrame:
+    """A row per block of a family, with the shingles of its sets.
+
+    Texts meet their families once, as texts, which are smaller than their shingles. A row
+    whose set is not its class's is left out, and one that repeats another in its task too.
+    """
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(families, "id")
+
+    def sets(batches):
+        recent: set[int] = set()
+        for batch in small_batches(batches, "text", BATCH_BYTES):
+            hashes, counts = shingle_sets(batch.column("text").to_pylist(), words)
+            f1, f2 = _fingerprints(hashes, counts)
+            wanted = (f1 == batch.column("f1").to_numpy()) & (f2 == batch.column("f2").to_numpy())
+            if len(recent) > RECENT:
+                recent.clear()
+            ids = batch.column("id").to_pylist()
+            for i in np.flatnonzero(wanted).tolist():
+                wanted[i] = ids[i] not in recent
+                recent.add(ids[i])
+            ends = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
+            shingles = pa.ListArray.from_arrays(ends, pa.array(hashes.view(np.int64)))
+            kept = [batch.column(name) for name in ("component", "block", "blocks", "id")]
+            yield pa.RecordBatch.from_arrays(
+                [*kept, shingles], names=["component", "block", "blocks", "id", "shingles"]).filter(pa.array(wanted))
+
+    found = texts.select("component", "block", "blocks", "id", "f1", "f2", "text").mapInArrow(
+        sets, "component long, block int, blocks int, id long, shingles array<long>")
+    return found.groupBy("component", "block").agg(
         F.first("blocks").alias("blocks"), F.collect_list(F.struct("id", "shingles")).alias("sets"))
-    packed = stored(packed, scratch_folder(spark, "families"))
-    left = packed.withColumn("other", F.explode(F.sequence("block", F.col("blocks") - 1)))
-    right = packed.select("component", F.col("block").alias("other"), F.col("sets").alias("others"))
-    pairs = left.join(right, ["component", "other"]).select(
-        "sets", F.when(F.col("block") != F.col("other"), F.col("others")).alias("others"))
+
+
+def _family_links(packed: DataFrame, least: Fraction) -> DataFrame:
+    """Links (a, b) that connect all sets of a family that are similar.
+
+    A block, or two blocks of a family, are a row, in which every two of their sets are
+    compared and as many links come out as connect them. So no two sets are a row of their
+    own, however large a group of near copies is. Only families of several blocks are joined.
+    """
+    alone = packed.select("sets", F.lit(None).cast(packed.schema["sets"].dataType).alias("others"))
+    several = packed.where("blocks > 1")
+    left = several.where("block < blocks - 1").withColumn(
+        "other", F.explode(F.sequence(F.col("block") + 1, F.col("blocks") - 1)))
+    right = several.select("component", F.col("block").alias("other"), F.col("sets").alias("others"))
+    pairs = alone.unionByName(left.join(right, ["component", "other"]).select("sets", "others"))
     number, of = least.numerator, least.denominator
 
     def linked(batches):
@@ -281,13 +318,9 @@ def similar_documents(docs: DataFrame, words: int = SHINGLE_WORDS, least: Fracti
         "key", F.col("class").alias("id"))
     buckets = stored(buckets, f"{folder}/buckets")
 
-    wanted = buckets.select(F.col("id").alias("doc_id")).distinct()
-    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id", "left_semi")
-    shingles = document_sets(chosen, words, with_sets=True).join(
-        classes.select("f1", "f2", F.col("class").alias("doc_id")), ["f1", "f2", "doc_id"]).dropDuplicates(["doc_id"])
-    shingles = stored(shingles.select("doc_id", "shingles"), f"{folder}/shingles")
-
-    linked = components(_family_links(buckets, shingles, least)).withColumnRenamed("id", "class").withColumnRenamed(
+    families = stored(_families(buckets, classes), f"{folder}/families")
+    packed = stored(_packed_sets(docs, families, words), f"{folder}/packed")
+    linked = components(_family_links(packed, least)).withColumnRenamed("id", "class").withColumnRenamed(
         "component", "linked")
     told = classes.join(linked, "class", "left").select(
         "f1", "f2", "n_shingles", F.coalesce("linked", "class").alias("component_id"))
