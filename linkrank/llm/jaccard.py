@@ -36,6 +36,7 @@ RECENT = 1 << 18
 #: Sets and their shingles that are held against each other in one row, and shingles taken at a time.
 BLOCK_SETS = 192
 BLOCK_MEMBERS = 1 << 20
+FILTER_WORDS = 1 << 18
 BLOCK_SHINGLES = 1 << 13
 
 
@@ -214,13 +215,27 @@ def _families(buckets: DataFrame, classes: DataFrame) -> DataFrame:
     return dealt.drop("n_shingles")
 
 
+def _possible(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of ``rows`` whose id may be one of ``wanted``'s: a bit each in a table of fixed size.
+
+    The table (``FILTER_WORDS`` rows of 64 bits at most) is broadcast. Ids that share a bit
+    pass too, so the join that follows decides; it only has fewer texts to move.
+    """
+    place = F.pmod(F.xxhash64("id"), F.lit(64 * FILTER_WORDS))
+    word, bit = F.shiftright("__place", 6).alias("__word"), F.col("__place") % 64
+    marked = wanted.select(place.alias("__place")).select(word, bit.cast("int").alias("__bit"))
+    table = marked.groupBy("__word").agg(F.expr("bit_or(shiftleft(1L, __bit))").alias("__bits"))
+    placed = rows.withColumn("__place", place).select("*", word)
+    return placed.join(F.broadcast(table), "__word").where(F.getbit("__bits", bit) == 1).select(*rows.columns)
+
+
 def _packed_sets(docs: DataFrame, families: DataFrame, words: int) -> DataFrame:
     """A row per block of a family, with the shingles of its sets.
 
     Texts meet their families once, as texts, which are smaller than their shingles. A row
     whose set is not its class's is left out, and one that repeats another in its task too.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(families, "id")
+    texts = _possible(docs.select(F.col("doc_id").cast("long").alias("id"), "text"), families).join(families, "id")
 
     def sets(batches):
         recent: set[int] = set()
