@@ -219,10 +219,17 @@ def read_records(file, read_bytes: int = READ_BYTES):
 def train_dictionary(pages: DataFrame, size: int = DICTIONARY_BYTES) -> bytes:
     """A dictionary from a bounded sample: ``DICTIONARY_PAGES`` pages by hash, ``DICTIONARY_CHARS`` of each.
 
-    Empty if there is too little to train on. Archives are read the same with any dictionary.
+    The hashes are ranked first, on their own, so that no task sends more pages than the
+    sample holds of them. Empty if there is too little to train on. Archives are read the
+    same with any dictionary.
     """
-    sample = pages.where("html <> ''").select(F.substring("html", 1, DICTIONARY_CHARS).alias("html"))
-    rows = sample.orderBy(F.xxhash64("html"), "html").limit(DICTIONARY_PAGES).collect()
+    marked = pages.where("html <> ''").withColumn("__mark", F.xxhash64("page_id", "html"))
+    lowest = marked.select("__mark").orderBy("__mark").limit(DICTIONARY_PAGES)
+    bound = lowest.agg(F.max("__mark")).first()[0]
+    if bound is None:
+        return b""
+    sample = marked.where(F.col("__mark") <= bound).select("__mark", F.substring("html", 1, DICTIONARY_CHARS).alias("html"))
+    rows = sample.orderBy("__mark", "html").limit(DICTIONARY_PAGES).collect()
     samples = [row.html.encode() for row in rows]
     try:
         return zstandard.train_dictionary(min(size, sum(map(len, samples)) // 8), samples).as_bytes()
