@@ -178,6 +178,23 @@ def test_neighbours(spark):
     assert abs(ann.chi_square_cdf(ann.chi_square_quantile(0.95)) - 0.95) < 1e-9
 
 
+def test_copies_larger_than_a_leaf_come_by_id():
+    draw = np.random.default_rng(8)
+    limit = ann.chi_square_quantile(1 - ann.MISS)
+    for trial in range(6):
+        vectors = draw.normal(size=(4096, 64))
+        copies = np.sort(draw.permutation(4096)[:500])
+        vectors[copies] = vectors[copies[0]]
+        ids = draw.permutation(4096).astype(np.int64)
+        block = ann.Block.build(ids, vectors)
+        least = np.sort(ids[copies])
+        for query in (least[0], least[3], least[-1]):
+            found, cosine, _ = block.search(int(query), vectors[copies[0]], 5, limit)
+            assert found.tolist() == least[least != query][:5].tolist() and (abs(cosine - 1) < 1e-12).all()
+        beside = vectors[copies[0]] + 0.2 * draw.normal(size=64)
+        assert block.search(-1, beside, 5, limit)[0].tolist() == least[:5].tolist()
+
+
 def test_lattice_points():
     x = np.random.default_rng(3).normal(size=(200, 8)) * 2
     points = lattice.e8_point(x)
