@@ -6,6 +6,8 @@ the last return the columns of documents; ``run`` writes each result and reads i
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from pyspark.sql import DataFrame, SparkSession
 
 from linkrank.llm.bpe import encode_documents
@@ -27,8 +29,8 @@ def drop_unidentified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents that share nine tenths of their word triples the smallest doc_id stays."""
-    return keep_one_of_each(docs)
+    """Of each group of documents that share four fifths of their runs of five words the smallest doc_id stays."""
+    return keep_one_of_each(docs, words=5, least=Fraction(4, 5))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

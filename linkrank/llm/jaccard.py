@@ -89,7 +89,12 @@ def size_bands(largest: int, least: Fraction) -> list[tuple[int, int]]:
 
 
 def _entries(hashes: np.ndarray, counts: np.ndarray, bands: list[Band], least: Fraction):
-    """Index keys of sets: (number of the set, key)."""
+    """Index keys of sets: (number of the set, key).
+
+    Parts that are empty, or are once a shingle is left out, say nothing of a set. There each
+    of the set's least shingles makes a key with the part: similar sets share one of their
+    ``size - least * size + 1`` least, so none is lost, and unrelated sets do not meet.
+    """
     starts = np.cumsum(counts) - counts
     for band in bands:
         # Partners of sets of this band's sizes have at most high / least.
@@ -111,11 +116,19 @@ def _entries(hashes: np.ndarray, counts: np.ndarray, bands: list[Band], least: F
         part = low + (high << np.uint64(32))
         number = np.arange(n) % band.segments
         salt = mix(number.astype(np.uint64) + np.uint64(band.number << 32), 7)
-        yield chosen[np.arange(n) // band.segments], mix(part ^ salt, 13)
+        filled = np.bincount(place, minlength=n)
+        found = [(np.arange(n) // band.segments, mix(part ^ salt, 13), filled == 0)]
         if band.doubles:
             double = segment < band.doubles
             without = part[place[double]] - value[double]
-            yield chosen[owner[double]], mix(without ^ salt[place[double]], 13)
+            found.append((owner[double], mix(without ^ salt[place[double]], 13), filled[place[double]] == 1))
+        prefix = sizes + 1 + -sizes * least.numerator // least.denominator
+        for of, keys, bare in found:
+            yield chosen[of[~bare]], keys[~bare]
+            of, keys = of[bare], keys[bare]
+            each = prefix[of]
+            at = np.repeat(starts[chosen[of]] - (np.cumsum(each) - each), each) + np.arange(each.sum())
+            yield chosen[np.repeat(of, each)], mix(np.repeat(keys, each) ^ mix(hashes[at], 17), 19)
 
 
 def _fingerprints(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -263,6 +263,38 @@ def test_jaccard_join_equals_brute_force(spark, docs, empty):
     assert jaccard.similar_documents(empty).count() == 0
 
 
+def test_near_duplicates_stage_equals_brute_force(spark):
+    import corpus_pipeline
+
+    draw, rows = np.random.default_rng(9), []
+    for group in range(25):
+        base = [f"g{group}v{i}" for i in range(int(draw.integers(30, 500)))]
+        rows.append((100 * (group + 1), " ".join(base)))
+        for copy in range(1, 5):
+            passage = [f"g{group}c{copy}p{i}" for i in range(round(len(base) * draw.uniform(0.08, 0.3)))]
+            rows.append((100 * (group + 1) + copy, " ".join([*passage, *base] if copy % 2 else [*base, *passage])))
+        words = list(base)
+        for at in draw.permutation(len(base))[:max(1, len(base) // 50)].tolist():
+            words[at] = f"g{group}x{at}"
+        rows.append((100 * (group + 1) + 5, " ".join(words)))
+    sets = {}
+    for doc_id, text in rows:
+        words = text.split()
+        sets[doc_id] = {tuple(words[i:i + 5]) for i in range(len(words) - 4)}
+    least = {i: i for i in sets}
+    shares = {(a, b): Fraction(len(sets[a] & sets[b]), len(sets[a] | sets[b])) for a in sets for b in sets if a // 100 == b // 100}
+    changed = True
+    while changed:
+        changed = False
+        for (a, b), share in shares.items():
+            if share >= Fraction(4, 5) and least[a] < least[b]:
+                least[b], changed = least[a], True
+    assert sum(Fraction(4, 5) <= share < Fraction(9, 10) for share in shares.values()) > 20
+    df = spark.createDataFrame([(i, t, "en", "a", len(t), None, None) for i, t in rows], SCHEMA)
+    kept = corpus_pipeline.drop_near_duplicates(spark, df, "").collect()
+    assert sorted(r.doc_id for r in kept) == sorted(i for i in sets if least[i] == i)
+
+
 def test_allowances_exceed_the_difference():
     for low, high in jaccard.size_bands(5000, Fraction(9, 10)):
         for sets in (1, 10**6, 10**11):
@@ -282,6 +314,24 @@ def test_one_deletion_meets():
     assert keys[0] & keys[1]
 
 
+def test_unrelated_small_sets_do_not_meet():
+    draw, least = np.random.default_rng(10), Fraction(4, 5)
+    base = [np.sort(draw.integers(0, 1 << 63, int(n)).astype(np.uint64)) for n in draw.integers(5, 60, 400)]
+    near = [np.sort(np.append(s[:-max(1, len(s) // 10)], draw.integers(0, 1 << 63, max(1, len(s) // 20)).astype(np.uint64))) for s in base]
+    sets = base + near
+    bands = [jaccard.Band(i, low, high, *jaccard.allocate(high, low, least, 200)) for i, (low, high) in enumerate(jaccard.size_bands(60, least))]
+    counts = np.array([len(s) for s in sets])
+    met = {}
+    for of, keys in jaccard._entries(np.concatenate(sets), counts, bands, least):
+        for o, key in zip(of.tolist(), keys.tolist(), strict=True):
+            met.setdefault(key, set()).add(o)
+    pairs = {(a, b) for group in met.values() for a in group for b in group if a < b}
+    assert all(b - a == 400 for a, b in pairs)
+    for i, (a, b) in enumerate(zip(base, near, strict=True)):
+        both = len(np.intersect1d(a, b))
+        assert 5 * both < 4 * (len(a) + len(b) - both) or (i, 400 + i) in pairs
+
+
 def test_mix(docs, empty):
     plan = mixing.mix_plan(docs)
     rows = plan.collect()
