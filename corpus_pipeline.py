@@ -34,8 +34,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows of the mix in training order: a document may be left out, cut or come twice."""
-    return mix_documents(docs)
+    """Rows of the mix in training order: a document may be left out or come twice, always whole."""
+    return mix_documents(docs, whole=True)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -148,13 +148,18 @@ def _in_order(df: DataFrame, position: str, more: list) -> DataFrame:
     return df.repartitionById(slices, number).sortWithinPartitions(position, *more)
 
 
-def mix_documents(docs: DataFrame, **settings) -> DataFrame:
+def mix_documents(docs: DataFrame, whole: bool = False, **settings) -> DataFrame:
     """The mix itself: the columns of ``docs``, a row for each pass that takes words of it, in training order.
 
     A row that the target cuts keeps its first words, and ``n_chars``, where there is one,
-    is counted again. See ``plan_mix`` for the rest.
+    is counted again. With ``whole`` no text is cut: that row comes whole if this is at least
+    as near to the target as leaving it out, and else not at all. See ``plan_mix`` for the rest.
     """
     rows = plan_mix(docs, **settings)
+    if whole:
+        size = F.col("__size")
+        near = F.filter("__copies", lambda copy: 2 * copy["words"] >= size)
+        rows = rows.withColumn("__copies", F.transform(near, lambda copy: copy.withField("words", size)))
     rows = rows.where(F.size("__copies") > 0).withColumn("__copy", F.explode("__copies"))
     words, cut = F.col("__copy.words"), F.col("__copy.words") < F.col("__size")
     spaced = F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))

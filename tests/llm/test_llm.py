@@ -351,6 +351,24 @@ def test_mix(docs, empty):
     assert mixing.mix_plan(empty).count() == 0 and mixing.mix_documents(empty).count() == 0
 
 
+def test_mixing_stage_keeps_texts_whole(spark):
+    import corpus_pipeline
+
+    draw = np.random.default_rng(11)
+    texts = [(i, " ".join(f"d{i}w{j}" for j in range(int(draw.integers(5, 60)))), "en", f"s{i // 2 % 30}") for i in range(90)]
+    df = spark.createDataFrame([(i, t, lang, s, len(t), None, None) for i, t, lang, s in texts], SCHEMA)
+    mixed, whole = corpus_pipeline.mix_sources(spark, df, "").collect(), {i: t for i, t, *_ in texts}
+    assert mixed and all(r.text == whole[r.doc_id] and r.n_chars == len(r.text) for r in mixed)
+    targets, taken, largest = {}, {}, {}
+    source = {i: s for i, _, _, s in texts}
+    for r in mixing.mix_plan(df).collect():
+        targets[source[r.doc_id]] = r.target
+        largest[source[r.doc_id]] = max(r.size, largest.get(source[r.doc_id], 0))
+    for r in mixed:
+        taken[r.source] = taken.get(r.source, 0) + len(r.text.split())
+    assert all(abs(taken.get(s, 0) - target) <= largest[s] / 2 + 0.5 for s, target in targets.items())
+
+
 def test_targets_stop_at_two_passes(spark):
     sizes = spark.createDataFrame([("a", 100), ("b", 1000), ("c", 10), ("d", 400), (None, 90)], "source string, source_size long")
     got = {r.source: (r.weight, r.target) for r in mixing.source_targets(sizes).collect()}
