@@ -140,12 +140,14 @@ def _in_order(df: DataFrame, position: str, more: list) -> DataFrame:
     """Range-sorts by a position of 0 to 1: equal slices of the training, one a partition.
 
     The range of the key is known, so no sample of the rows is drawn. There are as many
-    slices as shuffle partitions.
+    slices as shuffle partitions. Rows without position are dealt over all slices by a hash
+    of ``more`` and come last in each.
     """
     slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    number = F.least(F.floor(F.col(position) * slices), F.lit(slices - 1)).cast("int")
-    number = F.coalesce(number, F.lit(slices - 1))
-    return df.repartitionById(slices, number).sortWithinPartitions(position, *more)
+    dealt = F.pmod(F.xxhash64(*more), F.lit(slices))
+    number = F.when(F.col(position).isNull(), dealt).otherwise(
+        F.least(F.floor(F.col(position) * slices), F.lit(slices - 1))).cast("int")
+    return df.repartitionById(slices, number).sortWithinPartitions(F.col(position).asc_nulls_last(), *more)
 
 
 def mix_documents(docs: DataFrame, whole: bool = False, **settings) -> DataFrame:
@@ -173,9 +175,12 @@ def mix_documents(docs: DataFrame, whole: bool = False, **settings) -> DataFrame
 
 
 def mix_plan(docs: DataFrame, **settings) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, taken, and the first position, in training order."""
+    """One row per document: doc_id, size, source_size, target, taken, and the first position.
+
+    Documents that are taken are in training order; the others follow them in each slice.
+    """
     rows = plan_mix(docs.select("doc_id", "text", "source"), **settings).select(
         "doc_id", F.col("__size").alias("size"), F.col("__source_size").alias("source_size"),
         F.col("__target").alias("target"), F.col("__taken").alias("taken"),
         F.round(F.try_element_at("__copies", F.lit(1))["position"], 9).alias("position"))
-    return _in_order(rows, "position", ["doc_id"])
+    return _in_order(rows, "position", ["doc_id", "size"])

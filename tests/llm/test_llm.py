@@ -351,6 +351,20 @@ def test_mix(docs, empty):
     assert mixing.mix_plan(empty).count() == 0 and mixing.mix_documents(empty).count() == 0
 
 
+def test_untaken_rows_are_spread(spark):
+    rows = [(i, f"w{i} " * 5, "b" if i < 400 else "c") for i in range(440)] + [(1000 + i, "w " * 5, "a") for i in range(10)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    plan = mixing.mix_plan(df, weights=(5, 1, 40), max_passes=8)
+    rows = plan.withColumn("slice", F.spark_partition_id()).collect()
+    untaken = [r.slice for r in rows if r.position is None]
+    assert len(rows) == 450 and len(untaken) > 100
+    assert max(map(untaken.count, untaken)) < len(untaken) / 3
+    placed = [r.position for r in sorted((r for r in rows if r.position is not None), key=lambda r: r.slice)]
+    assert placed == sorted(placed)
+    for before, after in zip(rows, rows[1:], strict=False):
+        assert before.slice != after.slice or before.position is not None or after.position is None
+
+
 def test_mixing_stage_keeps_texts_whole(spark):
     import corpus_pipeline
 
