@@ -22,7 +22,12 @@ reach(id, node) AS (SELECT doc_id, doc_id FROM w UNION SELECT r.id, e.b FROM rea
 SELECT id AS doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(node) AS component_id
 FROM reach LEFT JOIN n ON n.doc_id = reach.id GROUP BY id"""
 
+OP11 = r"""WITH t AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x FROM documents),
+g AS (SELECT x, max(doc_id) AS keep_id, count(*) AS n FROM t GROUP BY x)
+SELECT doc_id, keep_id, n::BIGINT AS group_size, doc_id = keep_id AS kept, sha256(x) AS text_sha256 FROM t JOIN g USING (x)"""
+
 ORACLES: dict[str, str] = {
     "op4_lattice_duplicates": OP4,
     "op10_jaccard_join": OP10,
+    "op11_exact_copies": OP11,
 }

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from linkrank.llm.ann import build_index, search
 from linkrank.llm.bpe import encode_documents
+from linkrank.llm.copies import exact_copies
 from linkrank.llm.jaccard import similar_documents
 from linkrank.llm.langid import languages
 from linkrank.llm.lattice import near_duplicates
@@ -76,6 +77,11 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(_table(spark, sf_dir, "documents"))
 
 
+def op11_exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of equal texts that each document is in, and whether it is the one that stays."""
+    return exact_copies(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline."""
     import corpus_pipeline
@@ -96,5 +102,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_license_scan": op9_license_scan,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_exact_copies": op11_exact_copies,
     "pipeline": pipeline,
 }
