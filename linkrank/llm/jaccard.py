@@ -7,6 +7,11 @@ with an allowance of 1 it is equal, with 2 it is equal or one set has one shingl
 Sets are therefore indexed by their part in each segment, and where the allowance is 2 also
 by that part with each one of its shingles left out. Bands of set sizes have segments of
 their own; a set is in its own band and in each lower one that a partner may be in.
+
+An empty part says nothing of a set and makes no entry. A few more segments than the
+difference asks for make up for that: a set whose parts that are not empty still allow more
+than the difference meets every similar set (``_entries`` has the argument). The rare sets
+that do not are also indexed by their least shingles, once a band.
 """
 
 from __future__ import annotations
@@ -19,11 +24,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 from pyspark.sql.window import Window
 
 from linkrank.llm.components import components
 from linkrank.llm.shingles import mix, shingle_sets
 from linkrank.llm.words import small_batches
+from linkrank.operators.skew import copy_to_splits, hot_keys, hot_limit, split_rows
 from linkrank.session import scratch_folder, stored
 
 SHINGLE_WORDS = 3
@@ -31,6 +38,9 @@ LEAST = Fraction(9, 10)
 BAND_GROWTH = Fraction(7, 5)
 #: Cost of checking a candidate, in index entries.
 CHECK_COST = 20.0
+#: What unrelated sets are taken to share when allowances are chosen: one in so many sets has the same passage.
+PASSAGE_SHINGLES = 50
+PASSAGE_SETS = 100
 BATCH_BYTES = 2 << 20
 RECENT = 1 << 18
 #: Sets and their shingles that are held against each other in one row, and shingles taken at a time.
@@ -38,6 +48,8 @@ BLOCK_SETS = 192
 BLOCK_MEMBERS = 1 << 20
 FILTER_WORDS = 1 << 18
 BLOCK_SHINGLES = 1 << 13
+#: What tells a set: its fingerprint and size.
+_SET = ["f1", "f2", "n_shingles"]
 
 
 @dataclass(frozen=True)
@@ -56,23 +68,36 @@ def difference(high: int, least: Fraction) -> int:
     return math.floor(Fraction(high) * (1 - least) / least)
 
 
+def _spare(lost: float, need: int) -> int:
+    """Allowances to add where this many are lost to thin parts on average: few sets lose more."""
+    return min(math.ceil(lost + 3 * math.sqrt(lost)), need // 8 + 1) if need > 1 else 0
+
+
 def allocate(high: int, low: int, least: Fraction, sets: int) -> tuple[int, int]:
     """Segments and how many of them allow 2, at the least expected cost for ``sets`` sets of a band.
 
-    The allowances add up to the possible difference and 1. Fewer, larger segments that
-    allow 2 cost an entry for each shingle that is left out, but rarely agree by chance; many
-    segments that allow 1 cost one entry each, but some of them are empty or nearly so in
-    unrelated sets, which then meet. The more sets, the dearer such meetings.
+    The allowances add up to the possible difference and 1, and to what the largest sets of
+    the band lose to empty and nearly empty parts. Fewer, larger segments that allow 2 cost an
+    entry for each shingle that is left out, but two sets that only share a passage seldom
+    agree on one; segments that allow 1 cost an entry each. The more sets, the dearer such
+    meetings. But for tiny sets no choice costs more than an entry for each shingle.
     """
-    total, size, best = difference(high, least) + 1, (low + high) / 2, None
-    for doubles in range(total // 2 + 1):
-        segments = total - doubles
-        part = size / segments
-        empty = math.exp(-part)
-        alike, nearly = empty ** 2, (empty * (1 + part)) ** 2
-        entries = segments + doubles * part
-        meetings = (segments - doubles) * alike + doubles * nearly
-        cost = entries + CHECK_COST * sets * meetings
+    need, best = difference(high, least) + 1, None
+    steps = max(1, need // 64)
+    for doubles in [*range(0, need // 2 + 1, steps), need // 2]:
+        least_singles = singles = need - 2 * doubles
+        for _ in range(4):
+            segments = doubles + singles
+            empty = math.exp(-high / segments)
+            lost = segments * empty + doubles * empty * (1 + high / segments)
+            singles = least_singles + _spare(lost, need)
+        segments = doubles + singles
+        entries = segments + doubles * low / segments
+        if doubles and entries > 0.9 * low + 2:
+            continue
+        empty = math.exp(-high / segments)
+        meet = (singles * empty ** 2 + doubles * (empty * (1 + high / segments)) ** 2) / segments
+        cost = entries + CHECK_COST * sets / PASSAGE_SETS * min(1.0, PASSAGE_SHINGLES * meet)
         if best is None or cost < best[0]:
             best = (cost, segments, doubles)
     return best[1], best[2]
@@ -91,9 +116,13 @@ def size_bands(largest: int, least: Fraction) -> list[tuple[int, int]]:
 def _entries(hashes: np.ndarray, counts: np.ndarray, bands: list[Band], least: Fraction):
     """Index keys of sets: (number of the set, key).
 
-    Parts that are empty, or are once a shingle is left out, say nothing of a set. There each
-    of the set's least shingles makes a key with the part: similar sets share one of their
-    ``size - least * size + 1`` least, so none is lost, and unrelated sets do not meet.
+    Say X's part of a segment has p shingles and the segment allows a. If X and Y differ there
+    by less than min(a, p), they have a key in common that is not of an empty part: the part
+    itself, or the part of one without one of its shingles. If they share none, they differ by
+    min(a, p) or more in every segment. So where X's min(a, p) add up to more than X can differ
+    from a similar set, X shares a key with every one. Where they don't, X has its
+    ``size - least * size + 1`` least shingles as keys too: a similar set either shares a key
+    for its own sake or has these as well, and two similar sets share one of them.
     """
     starts = np.cumsum(counts) - counts
     for band in bands:
@@ -117,18 +146,20 @@ def _entries(hashes: np.ndarray, counts: np.ndarray, bands: list[Band], least: F
         number = np.arange(n) % band.segments
         salt = mix(number.astype(np.uint64) + np.uint64(band.number << 32), 7)
         filled = np.bincount(place, minlength=n)
-        found = [(np.arange(n) // band.segments, mix(part ^ salt, 13), filled == 0)]
+        some = np.flatnonzero(filled)
+        yield chosen[some // band.segments], mix(part[some] ^ salt[some], 13)
         if band.doubles:
-            double = segment < band.doubles
+            double = (segment < band.doubles) & (filled[place] > 1)
             without = part[place[double]] - value[double]
-            found.append((owner[double], mix(without ^ salt[place[double]], 13), filled[place[double]] == 1))
-        prefix = sizes + 1 + -sizes * least.numerator // least.denominator
-        for of, keys, bare in found:
-            yield chosen[of[~bare]], keys[~bare]
-            of, keys = of[bare], keys[bare]
-            each = prefix[of]
-            at = np.repeat(starts[chosen[of]] - (np.cumsum(each) - each), each) + np.arange(each.sum())
-            yield chosen[np.repeat(of, each)], mix(np.repeat(keys, each) ^ mix(hashes[at], 17), 19)
+            yield chosen[owner[double]], mix(without ^ salt[place[double]], 13)
+        allowed = np.minimum(filled, 1 + (number < band.doubles)).reshape(len(chosen), band.segments).sum(axis=1)
+        rest = 1 - least
+        thin = np.flatnonzero(allowed <= np.minimum(sizes, band.high) * rest.numerator * least.denominator
+                              // (rest.denominator * least.numerator))
+        if len(thin):
+            each = sizes[thin] + 1 + -sizes[thin] * least.numerator // least.denominator
+            at = np.repeat(starts[chosen[thin]] - (np.cumsum(each) - each), each) + np.arange(each.sum())
+            yield chosen[np.repeat(thin, each)], mix(hashes[at] ^ np.uint64(band.number + 1), 19)
 
 
 def _fingerprints(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -228,13 +259,13 @@ def _families(buckets: DataFrame, classes: DataFrame) -> DataFrame:
     return dealt.drop("n_shingles")
 
 
-def _possible(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The rows of ``rows`` whose id may be one of ``wanted``'s: a bit each in a table of fixed size.
+def _possible(rows: DataFrame, wanted: DataFrame, of: str) -> DataFrame:
+    """The rows of ``rows`` whose ``of`` may be one of ``wanted``'s: a bit each in a table of fixed size.
 
-    The table (``FILTER_WORDS`` rows of 64 bits at most) is broadcast. Ids that share a bit
+    The table (``FILTER_WORDS`` rows of 64 bits at most) is broadcast. Others that share a bit
     pass too, so the join that follows decides; it only has fewer texts to move.
     """
-    place = F.pmod(F.xxhash64("id"), F.lit(64 * FILTER_WORDS))
+    place = F.pmod(F.xxhash64(of), F.lit(64 * FILTER_WORDS))
     word, bit = F.shiftright("__place", 6).alias("__word"), F.col("__place") % 64
     marked = wanted.select(place.alias("__place")).select(word, bit.cast("int").alias("__bit"))
     table = marked.groupBy("__word").agg(F.expr("bit_or(shiftleft(1L, __bit))").alias("__bits"))
@@ -245,10 +276,12 @@ def _possible(rows: DataFrame, wanted: DataFrame) -> DataFrame:
 def _packed_sets(docs: DataFrame, families: DataFrame, words: int) -> DataFrame:
     """A row per block of a family, with the shingles of its sets.
 
-    Texts meet their families once, as texts, which are smaller than their shingles. A row
-    whose set is not its class's is left out, and one that repeats another in its task too.
+    A class is read from the rows of its document ``doc``. Texts meet their families once, as
+    texts, which are smaller than their shingles. A row whose set is not its class's is left
+    out, and one that repeats another in its task too.
     """
-    texts = _possible(docs.select(F.col("doc_id").cast("long").alias("id"), "text"), families).join(families, "id")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc"), "text")
+    texts = _possible(rows, families, "doc").join(families, "doc")
 
     def sets(batches):
         recent: set[int] = set()
@@ -307,27 +340,21 @@ def _family_links(packed: DataFrame, least: Fraction) -> DataFrame:
     return pairs.mapInArrow(linked, "a long, b long")
 
 
-def similar_documents(docs: DataFrame, words: int = SHINGLE_WORDS, least: Fraction = LEAST) -> DataFrame:
-    """doc_id, n_shingles and component_id (the smallest doc_id reachable by links) of every row.
+def _linkable():
+    return F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
 
-    Two documents link if their shingles' intersection is at least ``least`` of their union.
-    Equal sets are one class from the start. Bands' segments follow from counts of all sets.
-    Entries are sorted by key, and only keys with several classes go on; the sets that meet
-    are compared on all their shingles, block by block.
 
-    Words are split at ASCII white space, A-Z in lower case. Null and empty texts and texts
-    without words have no shingles and link with nothing, like rows without doc_id (their
-    component is null). Of rows that repeat a doc_id with other texts only the one whose set
-    has the least fingerprint is compared; the others share its component.
+def _grouped_sets(docs: DataFrame, words: int, least: Fraction, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """All rows' sets (doc_id, n_shingles, f1, f2); the classes of equal sets; links (a, b) between classes.
+
+    Classes have a number (``class``), their smallest doc_id (``doc``) and how many rows they
+    have (``size``). Rows without doc_id and empty sets are in none.
     """
-    spark, least = docs.sparkSession, Fraction(least)
-    folder = scratch_folder(spark, "jaccard")
     sets = stored(document_sets(docs, words), f"{folder}/sets")
-    able = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
-    linkable = sets.where(able).groupBy("doc_id").agg(
-        F.min(F.struct("f1", "f2", "n_shingles")).alias("set")).select("doc_id", "set.*")
-    classes = stored(linkable.groupBy("f1", "f2", "n_shingles").agg(F.min("doc_id").alias("class")), f"{folder}/classes")
-    largest = linkable.agg(F.max("n_shingles")).first()[0] or 0
+    classes = sets.where(_linkable()).groupBy(*_SET).agg(F.min("doc_id").alias("doc"), F.count("*").alias("size"))
+    # Numbers are given once, in a table: later jobs read them and do not give them anew.
+    classes = stored(classes.withColumn("class", F.monotonically_increasing_id()), f"{folder}/classes")
+    largest = classes.agg(F.max("n_shingles")).first()[0] or 0
     sizes = size_bands(largest, least)
     # A count per band of sizes: a few dozen.
     steps = F.array(*[F.lit(low) for low, _ in sizes]) if sizes else F.array()
@@ -342,27 +369,111 @@ def similar_documents(docs: DataFrame, words: int = SHINGLE_WORDS, least: Fracti
     differs = lambda step: (near("f1", step) != F.col("f1")) | (near("f2", step) != F.col("f2"))
     met = index.withColumn("met", F.coalesce(differs(1), F.lit(False)) | F.coalesce(differs(-1), F.lit(False)))
     met = met.where("met").select("key", "f1", "f2").distinct()
-    buckets = met.join(classes, ["f1", "f2"]).select(
-        "key", F.col("class").alias("id"))
-    buckets = stored(buckets, f"{folder}/buckets")
+    buckets = stored(met.join(classes, ["f1", "f2"]).select("key", F.col("class").alias("id")), f"{folder}/buckets")
 
     families = stored(_families(buckets, classes), f"{folder}/families")
     packed = stored(_packed_sets(docs, families, words), f"{folder}/packed")
-    linked = components(_family_links(packed, least)).withColumnRenamed("id", "class").withColumnRenamed(
-        "component", "linked")
-    told = classes.join(linked, "class", "left").select(
-        "f1", "f2", "n_shingles", F.coalesce("linked", "class").alias("component_id"))
-    found = linkable.join(told, ["f1", "f2", "n_shingles"]).select("doc_id", "component_id")
-    rows = sets.where(able).select("doc_id", "n_shingles").join(found, "doc_id")
-    alone = sets.where(~able).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return rows.select("doc_id", "n_shingles", "component_id").unionByName(alone)
+    return sets, classes, stored(_family_links(packed, least), f"{folder}/links")
+
+
+def _grouped(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """``classes`` with the ``group`` that each is in: the least number reachable by links."""
+    linked = components(links).withColumnRenamed("id", "class").withColumnRenamed("component", "group")
+    return classes.join(linked, "class", "left").withColumn("group", F.coalesce("group", "class"))
+
+
+def _of_rows(sets: DataFrame, told: DataFrame) -> DataFrame:
+    """The rows of ``sets`` that are in a class, with what ``told`` says of it; a class of very many rows is split."""
+    limit = hot_limit(sets.count())
+    hot = hot_keys(told.select(*_SET, "size"), "size", limit)
+    splits = F.greatest(F.ceil(F.col("size") / F.lit(limit)), F.lit(1)).cast("int")
+    copies = copy_to_splits(told.withColumn("splits", splits)).drop("size")
+    return split_rows(sets.where(_linkable()), _SET, "doc_id", hot).join(copies, [*_SET, "split"]).drop("split")
+
+
+def similar_documents(docs: DataFrame, words: int = SHINGLE_WORDS, least: Fraction = LEAST) -> DataFrame:
+    """doc_id, n_shingles and component_id (the smallest doc_id reachable by links) of every row.
+
+    Two documents link if their shingles' intersection is at least ``least`` of their union.
+    Equal sets are one class from the start. Bands' segments follow from counts of all sets.
+    Entries are sorted by key, and only keys with several classes go on; the sets that meet
+    are compared on all their shingles, block by block.
+
+    Words are split at ASCII white space, A-Z in lower case. Null and empty texts and texts
+    without words have no shingles and link with nothing, like rows without doc_id (their
+    component is null). Rows that repeat a doc_id with other texts are one document that has
+    all links of its texts; each row tells its own number of shingles.
+    """
+    least = Fraction(least)
+    folder = scratch_folder(docs.sparkSession, "jaccard")
+    sets, classes, links = _grouped_sets(docs, words, least, folder)
+    # Documents with several sets: their classes hang together, each by the least of them.
+    named = sets.where(F.col("doc_id").isNotNull())
+    several = named.groupBy("doc_id").agg(
+        F.min(F.struct(*_SET)).alias("low"), F.max(F.struct(*_SET)).alias("high")).where("low <> high").select("doc_id")
+    several = stored(several, f"{folder}/several")
+    some = not several.isEmpty()
+    if some:
+        mine = named.join(several, "doc_id").select("doc_id", *_SET).distinct().join(classes, _SET).select("doc_id", "class")
+        first = mine.groupBy("doc_id").agg(F.min("class").alias("a"))
+        links = links.union(mine.join(first, "doc_id").select("a", F.col("class").alias("b")))
+    told = _grouped(classes, links)
+    smallest = told.groupBy("group").agg(F.min("doc").alias("component_id"))
+    rows = _of_rows(sets, told.join(smallest, "group").select(*_SET, "size", "component_id"))
+    rows = rows.select("doc_id", "n_shingles", "component_id")
+    alone = sets.where(~_linkable()).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    if some:
+        # An empty text of a document that has others is where they are.
+        others = rows.join(several, "doc_id").groupBy("doc_id").agg(F.min("component_id").alias("other"))
+        alone = alone.join(others, "doc_id", "left").select(
+            "doc_id", "n_shingles", F.coalesce("other", "component_id").alias("component_id"))
+    return rows.unionByName(alone)
 
 
 def keep_one_of_each(docs: DataFrame, words: int = SHINGLE_WORDS, least: Fraction = LEAST) -> DataFrame:
-    """The rows of ``docs`` that are their group's smallest doc_id, with the columns they had.
+    """Of each group of similar rows the one with the smallest doc_id, with the columns they had.
 
-    Rows without doc_id, and with texts that link with nothing, stay.
+    Rows are judged by their own texts, also where they repeat a doc_id; of rows that repeat
+    the doc_id and the set of shingles of the one that stays, one is left. Rows without
+    doc_id, and with texts that link with nothing, stay.
     """
-    found = similar_documents(docs, words, least)
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("__gone"), "left_anti")
+    least = Fraction(least)
+    folder = scratch_folder(docs.sparkSession, "jaccard")
+    sets, classes, links = _grouped_sets(docs, words, least, folder)
+    told = _grouped(classes, links)
+    best = told.groupBy("group").agg(F.min(F.struct("doc", "class")).alias("best"))
+    told = told.join(best, "group").select(
+        *_SET, "size", F.when(F.col("class") == F.col("best.class"), F.col("doc")).alias("keep_id"))
+    rows = _of_rows(sets, told).select("doc_id", "f1", "f2", (F.col("keep_id") == F.col("doc_id")).alias("stays"))
+    empty = sets.where((F.col("n_shingles") == 0) & F.col("doc_id").isNotNull())
+    rows = rows.unionByName(empty.select("doc_id", "f1", "f2", F.lit(True).alias("stays")))
+    judged = rows.groupBy("doc_id").agg(F.count("*").alias("rows"), F.count_if("stays").alias("staying"))
+    judged = stored(judged.where("rows > 1 OR staying = 0"), f"{folder}/judged")
+    kept = docs.join(judged.select(F.col("doc_id").alias("__id")), docs["doc_id"] == F.col("__id"), "left_anti")
+    repeated = judged.where("staying > 0").select(F.col("doc_id").alias("__id"))
+    if repeated.isEmpty():
+        return kept
+    # A doc_id of several rows of which some stay: which ones, their texts decide.
+    staying = rows.where("stays").join(repeated, F.col("doc_id") == F.col("__id")).select(
+        "__id", F.col("f1").alias("__f1"), F.col("f2").alias("__f2")).distinct()
+    marked = _with_prints(docs.join(repeated, docs["doc_id"] == F.col("__id"), "left_semi"), words)
+    marked = marked.join(staying, (marked["doc_id"] == F.col("__id")) & (marked["__f1"] == staying["__f1"])
+                         & (marked["__f2"] == staying["__f2"]), "left_semi")
+    row = F.struct(*[F.col(f"`{name}`") for name in docs.columns])
+    once = marked.where("__n > 0").groupBy("doc_id", "__f1", "__f2").agg(
+        F.min_by(row, F.xxhash64(F.to_json(row))).alias("row")).select("row.*")
+    return kept.unionByName(once).unionByName(marked.where("__n = 0").select(*docs.columns))
+
+
+def _with_prints(docs: DataFrame, words: int) -> DataFrame:
+    """``docs`` with their sets' fingerprints ``__f1``, ``__f2`` and sizes ``__n``."""
+    def printed(batches):
+        for batch in small_batches(batches, "text", BATCH_BYTES):
+            hashes, counts = shingle_sets(batch.column("text").to_pylist(), words)
+            f1, f2 = _fingerprints(hashes, counts)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(f1), pa.array(f2), pa.array(counts)],
+                names=[*batch.schema.names, "__f1", "__f2", "__n"])
+
+    schema = StructType([*docs.schema.fields, *(StructField(name, LongType()) for name in ("__f1", "__f2", "__n"))])
+    return docs.mapInArrow(printed, schema)

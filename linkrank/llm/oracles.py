@@ -11,16 +11,16 @@ deg AS (SELECT a, count(*) AS n FROM near GROUP BY a)
 SELECT id AS vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, id = component_id AS kept
 FROM low LEFT JOIN deg ON deg.a = low.id"""
 
-OP10 = r"""WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(
+OP10 = r"""WITH RECURSIVE w AS (SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(
   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
-s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN []::VARCHAR[] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
-  ELSE list_transform(range(1, len(words) - 1), lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2]) END) AS g FROM w),
-n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-near AS (SELECT c.a, c.b FROM (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
-  GROUP BY a.doc_id, b.doc_id) c JOIN n x ON x.doc_id = c.a JOIN n y ON y.doc_id = c.b WHERE 100 * k >= 90 * (x.n + y.n - k)),
-reach(id, node) AS (SELECT doc_id, doc_id FROM w UNION SELECT r.id, e.b FROM reach r JOIN near e ON e.a = r.node)
-SELECT id AS doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(node) AS component_id
-FROM reach LEFT JOIN n ON n.doc_id = reach.id GROUP BY id"""
+s AS (SELECT DISTINCT r, unnest(CASE WHEN len(words) = 0 THEN []::VARCHAR[] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+  ELSE list_transform(range(1, len(words) - 1), lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2]) END) AS g FROM w WHERE doc_id IS NOT NULL),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+near AS (SELECT DISTINCT p.doc_id AS a, q.doc_id AS b FROM (SELECT a.r AS a, b.r AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.r <> b.r
+  GROUP BY a.r, b.r) c JOIN n x ON x.r = c.a JOIN n y ON y.r = c.b JOIN w p ON p.r = c.a JOIN w q ON q.r = c.b WHERE 100 * k >= 90 * (x.n + y.n - k)),
+reach(id, node) AS (SELECT DISTINCT doc_id, doc_id FROM w WHERE doc_id IS NOT NULL UNION SELECT r.id, e.b FROM reach r JOIN near e ON e.a = r.node),
+low AS (SELECT id, min(node) AS component_id FROM reach GROUP BY id)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, low.component_id FROM w LEFT JOIN n ON n.r = w.r LEFT JOIN low ON low.id = w.doc_id"""
 
 OP11 = r"""WITH t AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x FROM documents),
 g AS (SELECT x, max(doc_id) AS keep_id, count(*) AS n FROM t GROUP BY x)
