@@ -26,8 +26,20 @@ OP11 = r"""WITH t AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKL
 g AS (SELECT x, max(doc_id) AS keep_id, count(*) AS n FROM t GROUP BY x)
 SELECT doc_id, keep_id, n::BIGINT AS group_size, doc_id = keep_id AS kept, sha256(x) AS text_sha256 FROM t JOIN g USING (x)"""
 
+OP13 = r"""WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+  list_transform(embedding::DOUBLE[], lambda x: floor(256 * x)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+s AS (SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id AS other, list_inner_product(a.e, b.e)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT p.anchor_id, p.other AS positive_id, (row_number() OVER (PARTITION BY p.anchor_id, p.other ORDER BY n.score DESC, n.other))::INTEGER AS rank,
+  n.other AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM p JOIN s n ON n.anchor_id = p.anchor_id AND NOT n.same AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.other ORDER BY n.score DESC, n.other) <= 3"""
+
 ORACLES: dict[str, str] = {
     "op4_lattice_duplicates": OP4,
     "op10_jaccard_join": OP10,
     "op11_exact_copies": OP11,
+    "op13_hard_negatives": OP13,
 }

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from linkrank.llm.ann import build_index, search
 from linkrank.llm.bpe import encode_documents
@@ -14,6 +15,7 @@ from linkrank.llm.langid import languages
 from linkrank.llm.lattice import near_duplicates
 from linkrank.llm.licenses import scan_licenses
 from linkrank.llm.mixing import mix_plan
+from linkrank.llm.negatives import hard_negatives
 from linkrank.llm.oracles import ORACLES
 from linkrank.llm.token_files import token_digests, write_token_files
 from linkrank.llm.toxicity import toxicity_scores
@@ -82,6 +84,14 @@ def op11_exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_copies(_table(spark, sf_dir, "documents"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives for every fiftieth vector; every seventh vector has moved to the next label."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = vectors.withColumn("label", moved)
+    return hard_negatives(vectors, vectors.where("vec_id % 50 = 0"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline."""
     import corpus_pipeline
@@ -103,5 +113,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_license_scan": op9_license_scan,
     "op10_jaccard_join": op10_jaccard_join,
     "op11_exact_copies": op11_exact_copies,
+    "op13_hard_negatives": op13_hard_negatives,
     "pipeline": pipeline,
 }
