@@ -26,6 +26,29 @@ OP11 = r"""WITH t AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKL
 g AS (SELECT x, max(doc_id) AS keep_id, count(*) AS n FROM t GROUP BY x)
 SELECT doc_id, keep_id, n::BIGINT AS group_size, doc_id = keep_id AS kept, sha256(x) AS text_sha256 FROM t JOIN g USING (x)"""
 
+OP12 = r"""WITH t AS (SELECT conv_id, coalesce(role, '') AS r, coalesce(text, '') AS x, row_number() OVER (PARTITION BY conv_id
+  ORDER BY turn NULLS FIRST, sha256(strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, count(*) AS own, conv_id - conv_id % 5 AS donor,
+  xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)), lambda crc, b:
+    list_reduce(list_concat([xor(crc, b)], range(8)), lambda v, i: xor(v >> 1, CASE WHEN v & 1 = 1 THEN 3988292384::BIGINT ELSE 0 END))), 4294967295::BIGINT) % 9 AS h
+  FROM t GROUP BY conv_id),
+c AS (SELECT o.conv_id, o.h, o.donor, least(o.h, coalesce(d.own, 0)) AS used, least(o.h, coalesce(d.own, 0)) + greatest(o.own - o.h, 0) AS length
+  FROM o LEFT JOIN o d ON d.conv_id = o.donor),
+b AS (SELECT c.conv_id, t.pos AS depth, c.length, t.r, t.x FROM c JOIN t ON t.conv_id = c.donor AND t.pos <= c.h
+  UNION ALL SELECT c.conv_id, t.pos - c.h + c.used, c.length, t.r, t.x FROM c JOIN t ON t.conv_id = c.conv_id AND t.pos > c.h),
+p AS (SELECT conv_id, depth, length, strlen(x) AS bytes, string_agg(sha256(strlen(r)::VARCHAR || ':' || r || x), ',') OVER (PARTITION BY conv_id ORDER BY depth) AS k FROM b
+  UNION ALL SELECT conv_id, 0, length, 0, '' FROM c),
+q AS (SELECT *, lag(k) OVER (PARTITION BY conv_id ORDER BY depth) AS up FROM p),
+n AS (SELECT k, any_value(up) AS up, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n, any_value(bytes) AS bytes,
+  coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (depth = length), '') AS ends FROM q GROUP BY k),
+kids AS (SELECT up AS k, count(*) AS n_children FROM n WHERE up IS NOT NULL GROUP BY up),
+s AS (SELECT a.k, count(*) FILTER (kids.k IS NULL) AS n_leaves, sum((n.n - 1) * n.bytes) AS saved FROM n JOIN p a ON a.conv_id = n.conv_id AND a.depth <= n.depth
+  LEFT JOIN kids ON kids.k = n.k GROUP BY a.k)
+SELECT n.conv_id, n.depth::BIGINT AS depth, u.conv_id AS parent_conv_id, n.n::BIGINT AS n_convs, coalesce(kids.n_children, 0)::BIGINT AS n_children,
+  s.n_leaves::BIGINT AS n_leaves, s.saved::BIGINT AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM n LEFT JOIN n u ON u.k = n.up LEFT JOIN kids ON kids.k = n.k JOIN s ON s.k = n.k"""
+
 OP13 = r"""WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
   list_transform(embedding::DOUBLE[], lambda x: floor(256 * x)) AS e FROM embeddings
   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
@@ -41,5 +64,6 @@ ORACLES: dict[str, str] = {
     "op4_lattice_duplicates": OP4,
     "op10_jaccard_join": OP10,
     "op11_exact_copies": OP11,
+    "op12_conversation_trie": OP12,
     "op13_hard_negatives": OP13,
 }

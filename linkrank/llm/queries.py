@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from linkrank.llm.ann import build_index, search
 from linkrank.llm.bpe import encode_documents
+from linkrank.llm.conversations import conversation_nodes
 from linkrank.llm.copies import exact_copies
 from linkrank.llm.jaccard import similar_documents
 from linkrank.llm.langid import languages
@@ -84,6 +85,11 @@ def op11_exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_copies(_table(spark, sf_dir, "documents"))
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All beginnings that the rebuilt conversations share or have to themselves."""
+    return conversation_nodes(_table(spark, sf_dir, "conversations"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hard negatives for every fiftieth vector; every seventh vector has moved to the next label."""
     vectors = _table(spark, sf_dir, "embeddings")
@@ -113,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_license_scan": op9_license_scan,
     "op10_jaccard_join": op10_jaccard_join,
     "op11_exact_copies": op11_exact_copies,
+    "op12_conversation_trie": op12_conversation_trie,
     "op13_hard_negatives": op13_hard_negatives,
     "pipeline": pipeline,
 }
