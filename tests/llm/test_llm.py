@@ -189,7 +189,7 @@ def test_copies_larger_than_a_leaf_come_by_id():
         block = ann.Block.build(ids, vectors)
         least = np.sort(ids[copies])
         for query in (least[0], least[3], least[-1]):
-            found, cosine, _ = block.search(int(query), vectors[copies[0]], 5, limit)
+            found, cosine, _, _ = block.search(int(query), vectors[copies[0]], 5, limit)
             assert found.tolist() == least[least != query][:5].tolist() and (abs(cosine - 1) < 1e-12).all()
         beside = vectors[copies[0]] + 0.2 * draw.normal(size=64)
         assert block.search(-1, beside, 5, limit)[0].tolist() == least[:5].tolist()
