@@ -230,9 +230,15 @@ class Encoder:
         return out
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
+def _merges(content: str) -> Merges:
+    return Merges(content)
+
+
+@lru_cache(maxsize=1)
 def _encoder(content: str, lexicon_file: str) -> Encoder:
-    return Encoder(Merges(content), Lexicon(SparkFiles.get(lexicon_file)))
+    """One at a time: a worker that serves another run gives the memory of the last one's words back."""
+    return Encoder(_merges(content), Lexicon(SparkFiles.get(lexicon_file)))
 
 
 def _count_words(batches):

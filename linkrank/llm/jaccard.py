@@ -12,6 +12,10 @@ An empty part says nothing of a set and makes no entry. A few more segments than
 difference asks for make up for that: a set whose parts that are not empty still allow more
 than the difference meets every similar set (``_entries`` has the argument). The rare sets
 that do not are also indexed by their least shingles, once a band.
+
+Texts that share a passage may meet by it. Sets under a key are therefore first compared by
+bitmaps, whose difference is never larger than the sets'; only what these leave is put into
+one family and compared shingle by shingle.
 """
 
 from __future__ import annotations
@@ -22,6 +26,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -48,6 +53,10 @@ BLOCK_SETS = 192
 BLOCK_MEMBERS = 1 << 20
 FILTER_WORDS = 1 << 18
 BLOCK_SHINGLES = 1 << 13
+#: Sets under one key whose bitmaps are held against each other in one row.
+BUCKET_SETS = 4096
+#: The last bits of a key are its band's number.
+BAND_BITS = 7
 #: What tells a set: its fingerprint and size.
 _SET = ["f1", "f2", "n_shingles"]
 
@@ -113,6 +122,10 @@ def size_bands(largest: int, least: Fraction) -> list[tuple[int, int]]:
     return bands
 
 
+def _key(hashed: np.ndarray, band: Band) -> np.ndarray:
+    return hashed >> np.uint64(BAND_BITS) << np.uint64(BAND_BITS) | np.uint64(band.number)
+
+
 def _entries(hashes: np.ndarray, counts: np.ndarray, bands: list[Band], least: Fraction):
     """Index keys of sets: (number of the set, key).
 
@@ -147,11 +160,11 @@ def _entries(hashes: np.ndarray, counts: np.ndarray, bands: list[Band], least: F
         salt = mix(number.astype(np.uint64) + np.uint64(band.number << 32), 7)
         filled = np.bincount(place, minlength=n)
         some = np.flatnonzero(filled)
-        yield chosen[some // band.segments], mix(part[some] ^ salt[some], 13)
+        yield chosen[some // band.segments], _key(mix(part[some] ^ salt[some], 13), band)
         if band.doubles:
             double = (segment < band.doubles) & (filled[place] > 1)
             without = part[place[double]] - value[double]
-            yield chosen[owner[double]], mix(without ^ salt[place[double]], 13)
+            yield chosen[owner[double]], _key(mix(without ^ salt[place[double]], 13), band)
         allowed = np.minimum(filled, 1 + (number < band.doubles)).reshape(len(chosen), band.segments).sum(axis=1)
         rest = 1 - least
         thin = np.flatnonzero(allowed <= np.minimum(sizes, band.high) * rest.numerator * least.denominator
@@ -159,7 +172,7 @@ def _entries(hashes: np.ndarray, counts: np.ndarray, bands: list[Band], least: F
         if len(thin):
             each = sizes[thin] + 1 + -sizes[thin] * least.numerator // least.denominator
             at = np.repeat(starts[chosen[thin]] - (np.cumsum(each) - each), each) + np.arange(each.sum())
-            yield chosen[np.repeat(thin, each)], mix(hashes[at] ^ np.uint64(band.number + 1), 19)
+            yield chosen[np.repeat(thin, each)], _key(mix(hashes[at] ^ np.uint64(band.number + 1), 19), band)
 
 
 def _fingerprints(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -172,22 +185,52 @@ def _fingerprints(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, n
     return out[0], out[1]
 
 
-def document_sets(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
-    """doc_id, n_shingles and the set's fingerprint (f1, f2) of every row."""
+def _bitmaps(hashes: np.ndarray, counts: np.ndarray, least: Fraction) -> tuple[np.ndarray, list[list[bytes]]]:
+    """Each set's own band, and its bitmap in this and each lower band that it is in.
+
+    A band's bitmaps have as many bits as its largest set has shingles. A bit tells whether an
+    odd number of shingles hash to it, so two sets' bitmaps differ in at most as many bits as
+    the sets differ in shingles.
+    """
+    sizes = size_bands(int(counts.max(initial=0)), least)
+    own = np.searchsorted([low for low, _ in sizes], counts, side="right") - 1
+    starts, out = np.cumsum(counts) - counts, [[] for _ in counts]
+    # From the highest band down: a set's own comes first.
+    for number, (low, high) in reversed(list(enumerate(sizes))):
+        chosen = np.flatnonzero((counts >= low) & (counts <= math.floor(Fraction(high) / least)))
+        if not len(chosen):
+            continue
+        each, bits = counts[chosen], 64 * -(-high // 64)
+        at = np.repeat(starts[chosen] - (np.cumsum(each) - each), each) + np.arange(each.sum())
+        bit = (mix(hashes[at], 301 + number) % np.uint64(bits)).astype(np.int64)
+        odd = np.bincount(np.repeat(np.arange(len(chosen)), each) * bits + bit, minlength=len(chosen) * bits) & 1
+        packed = np.packbits(odd.astype(bool).reshape(len(chosen), bits), axis=1)
+        for i, row in zip(chosen.tolist(), packed, strict=True):
+            out[i].append(row.tobytes())
+    return own, out
+
+
+def document_sets(docs: DataFrame, words: int = SHINGLE_WORDS, least: Fraction = LEAST) -> DataFrame:
+    """doc_id, n_shingles, the set's fingerprint (f1, f2), its band and bitmaps of every row."""
     def sets(batches):
         for batch in small_batches(batches, "text", BATCH_BYTES):
             hashes, counts = shingle_sets(batch.column("text").to_pylist(), words)
             f1, f2 = _fingerprints(hashes, counts)
+            own, bitmaps = _bitmaps(hashes, counts, least)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(counts), pa.array(f1), pa.array(f2)],
-                names=["doc_id", "n_shingles", "f1", "f2"])
+                [batch.column("doc_id"), pa.array(counts), pa.array(f1), pa.array(f2), pa.array(own, pa.int32()),
+                 pa.array(bitmaps, pa.list_(pa.binary()))],
+                names=["doc_id", "n_shingles", "f1", "f2", "band", "bitmaps"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        sets, "doc_id long, n_shingles long, f1 long, f2 long")
+        sets, "doc_id long, n_shingles long, f1 long, f2 long, band int, bitmaps array<binary>")
 
 
 def _index(docs: DataFrame, words: int, bands: list[Band], least: Fraction) -> DataFrame:
-    """Index entries (key, f1, f2) of the sets; a task gives those of equal sets it sees in a row once."""
+    """Index entries (key, f1) of the sets; a task gives those of equal sets it sees in a row once.
+
+    Half of the fingerprint tells sets under a key apart.
+    """
     def entries(batches):
         recent: set[tuple[int, int]] = set()
         for batch in small_batches(batches, "text", BATCH_BYTES):
@@ -200,13 +243,119 @@ def _index(docs: DataFrame, words: int, bands: list[Band], least: Fraction) -> D
                 if counts[i] and print_ not in recent:
                     recent.add(print_)
                     new[i] = True
-            hashes, f1, f2, counts = hashes[np.repeat(new, counts)], f1[new], f2[new], counts[new]
+            hashes, f1, counts = hashes[np.repeat(new, counts)], f1[new], counts[new]
             for of, keys in _entries(hashes, counts, bands, least):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.view(np.int64)), pa.array(f1[of]), pa.array(f2[of])], names=["key", "f1", "f2"])
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(f1[of])], names=["key", "f1"])
+
+    return docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text").mapInArrow(entries, "key long, f1 long")
+
+
+def _bitmap_forest(sizes: np.ndarray, maps: np.ndarray, apart: int, whole: int) -> list[tuple[int, int]]:
+    """Links that connect all of these sets that may be similar.
+
+    A set found is held against those not yet found only, so a group of near copies costs
+    about as many comparisons as it has members.
+    """
+    left, out = np.arange(len(sizes)), []
+    todo: list[int] = []
+    while len(left):
+        if not todo:
+            todo, left = [int(left[0])], left[1:]
+        at = todo.pop()
+        near = _may_be_similar(sizes[at], sizes[left], maps[at], maps[left], apart, whole)
+        out += [(at, int(other)) for other in left[near]]
+        todo += left[near].tolist()
+        left = left[~near]
+    return out
+
+
+def _may_be_similar(size, sizes: np.ndarray, bits: np.ndarray, maps: np.ndarray, apart: int, whole: int) -> np.ndarray:
+    """Whether bitmaps and sizes differ by at most ``apart`` / ``whole`` of the shingles of both sets."""
+    differ = np.bitwise_count(maps ^ bits).sum(axis=1, dtype=np.int64)
+    return np.maximum(differ, np.abs(sizes - size)) * whole <= (sizes + size) * apart
+
+
+def _near_links(buckets: DataFrame, classes: DataFrame, least: Fraction) -> DataFrame:
+    """Links (a, b) that connect, within each key of ``buckets`` (key, id), all classes that may be similar.
+
+    Similar sets A and B differ in at most (1 - least) / (1 + least) of |A| + |B| shingles, and
+    their bitmaps in no more. A key's sets are a row, or a few if there are very many, and then
+    each two of these are one.
+    """
+    nth = F.col("band") - F.col("key").bitwiseAND(F.lit((1 << BAND_BITS) - 1)) + 1
+    members = buckets.join(classes.select(F.col("class").alias("id"), "n_shingles", "band", "bitmaps"), "id").select(
+        "key", F.struct("id", F.col("n_shingles").alias("size"), F.element_at("bitmaps", nth.cast("int")).alias("bits")).alias("set"))
+    counts = buckets.groupBy("key").count().where(F.col("count") > BUCKET_SETS)
+    large = counts.select("key", F.ceil(F.col("count") / BUCKET_SETS).cast("int").alias("blocks"))
+    if large.isEmpty():
+        rows = members.groupBy("key").agg(F.collect_list("set").alias("sets"))
+        rows = rows.withColumn("others", F.lit(None).cast(rows.schema["sets"].dataType))
+    else:
+        # Only a key of very many sets has several blocks.
+        dealt = members.join(large, "key", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+        dealt = dealt.withColumn("block", F.pmod(F.xxhash64("set.id"), F.col("blocks")).cast("int"))
+        packed = dealt.groupBy("key", "block").agg(F.first("blocks").alias("blocks"), F.collect_list("set").alias("sets"))
+        rows = _pairs_of_blocks(packed, "key")
+    least = Fraction(least)
+    apart, whole = least.denominator - least.numerator, least.denominator + least.numerator
+
+    def linked(batches):
+        for batch in batches:
+            found_a, found_b = [], []
+            lists = [batch.column(name) for name in ("sets", "others")]
+            ids, sizes, bits = (_both(lists, name) for name in ("id", "size", "bits"))
+            ids, sizes = ids.to_numpy(), sizes.to_numpy()
+            lengths = pa.compute.binary_length(bits).to_numpy().astype(np.int64)
+            raw = np.frombuffer(b"".join(bits.to_pylist()), dtype="u1")
+            places = np.cumsum(lengths) - lengths
+            counts = sum(_list_sizes(column) for column in lists)
+            starts = np.cumsum(counts) - counts
+
+            def maps(rows):
+                at = places[rows][:, None] + np.arange(lengths[rows[0]])  # noqa: B023
+                return raw[at].view("<u8")  # noqa: B023
+
+            # Most keys have two sets: all those of one band at once.
+            twos = starts[counts == 2]
+            for length in np.unique(lengths[twos]):
+                first = twos[lengths[twos] == length]
+                near = _may_be_similar(sizes[first], sizes[first + 1], maps(first), maps(first + 1), apart, whole)
+                found_a.append(ids[first[near]])
+                found_b.append(ids[first[near] + 1])
+            for row in np.flatnonzero(counts > 2):
+                rows = np.arange(starts[row], starts[row] + counts[row])
+                links = np.array(_bitmap_forest(sizes[rows], maps(rows), apart, whole), dtype=np.int64).reshape(-1, 2)
+                found_a.append(ids[rows[links[:, 0]]])
+                found_b.append(ids[rows[links[:, 1]]])
+            none = np.zeros(0, dtype=np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([none, *found_a])), pa.array(np.concatenate([none, *found_b]))], names=["a", "b"])
+
+    return rows.select("sets", "others").mapInArrow(linked, "a long, b long").distinct()
+
+
+def _list_sizes(lists: pa.ListArray) -> np.ndarray:
+    return lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+
 
-    return docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text").mapInArrow(
-        entries, "key long, f1 long, f2 long")
+def _both(lists: list[pa.ListArray], name: str) -> pa.Array:
+    """The field ``name`` of all sets, row by row: those of a row's first list, then those of its second."""
+    parts = [column.flatten().field(name) for column in lists]
+    if not len(parts[1]):
+        return pa.concat_arrays([parts[0]])
+    sizes = [_list_sizes(column) for column in lists]
+    owner = np.concatenate([np.repeat(np.arange(len(size)), size) for size in sizes])
+    return pa.concat_arrays(parts).take(pa.array(np.argsort(owner, kind="stable")))
+
+
+def _pairs_of_blocks(packed: DataFrame, of: str) -> DataFrame:
+    """Rows (sets, others): each block (``of``, block, blocks, sets) alone, and each two of those that belong together."""
+    alone = packed.select("sets", F.lit(None).cast(packed.schema["sets"].dataType).alias("others"))
+    several = packed.where("blocks > 1")
+    left = several.where("block < blocks - 1").withColumn(
+        "other", F.explode(F.sequence(F.col("block") + 1, F.col("blocks") - 1)))
+    right = several.select(of, F.col("block").alias("other"), F.col("sets").alias("others"))
+    return alone.unionByName(left.join(right, [of, "other"]).select("sets", "others"))
 
 
 def _forest(near: np.ndarray) -> list[tuple[int, int]]:
@@ -244,15 +393,12 @@ def _common(sets: list[np.ndarray]) -> np.ndarray:
     return total.astype(np.int64)
 
 
-def _families(buckets: DataFrame, classes: DataFrame) -> DataFrame:
-    """The family (component) of every class of ``buckets`` (key, id), and its block of the family.
+def _families(links: DataFrame, classes: DataFrame) -> DataFrame:
+    """The family (component) of every class in ``links`` (a, b), and its block of the family.
 
-    Sets that meet under some key, at once or through others, are a family. Its blocks hold
-    about ``BLOCK_SETS`` sets and ``BLOCK_MEMBERS`` shingles.
+    Blocks hold about ``BLOCK_SETS`` sets and ``BLOCK_MEMBERS`` shingles.
     """
-    firsts = buckets.groupBy("key").agg(F.min("id").alias("a"))
-    families = components(buckets.join(firsts, "key").select("a", F.col("id").alias("b")))
-    families = families.join(classes.withColumnRenamed("class", "id"), "id")
+    families = components(links).join(classes.withColumnRenamed("class", "id"), "id")
     sizes = families.groupBy("component").agg(F.greatest(
         F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n_shingles") / BLOCK_MEMBERS)).cast("int").alias("blocks"))
     dealt = families.join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
@@ -314,12 +460,7 @@ def _family_links(packed: DataFrame, least: Fraction) -> DataFrame:
     compared and as many links come out as connect them. So no two sets are a row of their
     own, however large a group of near copies is. Only families of several blocks are joined.
     """
-    alone = packed.select("sets", F.lit(None).cast(packed.schema["sets"].dataType).alias("others"))
-    several = packed.where("blocks > 1")
-    left = several.where("block < blocks - 1").withColumn(
-        "other", F.explode(F.sequence(F.col("block") + 1, F.col("blocks") - 1)))
-    right = several.select("component", F.col("block").alias("other"), F.col("sets").alias("others"))
-    pairs = alone.unionByName(left.join(right, ["component", "other"]).select("sets", "others"))
+    pairs = _pairs_of_blocks(packed, "component")
     number, of = least.numerator, least.denominator
 
     def linked(batches):
@@ -350,8 +491,9 @@ def _grouped_sets(docs: DataFrame, words: int, least: Fraction, folder: str) ->
     Classes have a number (``class``), their smallest doc_id (``doc``) and how many rows they
     have (``size``). Rows without doc_id and empty sets are in none.
     """
-    sets = stored(document_sets(docs, words), f"{folder}/sets")
-    classes = sets.where(_linkable()).groupBy(*_SET).agg(F.min("doc_id").alias("doc"), F.count("*").alias("size"))
+    sets = stored(document_sets(docs, words, least), f"{folder}/sets")
+    classes = sets.where(_linkable()).groupBy(*_SET).agg(
+        F.min("doc_id").alias("doc"), F.count("*").alias("size"), F.first("band").alias("band"), F.first("bitmaps").alias("bitmaps"))
     # Numbers are given once, in a table: later jobs read them and do not give them anew.
     classes = stored(classes.withColumn("class", F.monotonically_increasing_id()), f"{folder}/classes")
     largest = classes.agg(F.max("n_shingles")).first()[0] or 0
@@ -364,16 +506,17 @@ def _grouped_sets(docs: DataFrame, words: int, least: Fraction, folder: str) ->
              for i, (low, high) in enumerate(sizes) if counts.get(i) or counts.get(i + 1)]
 
     index = _index(docs, words, bands, least)
-    line = Window.partitionBy("key").orderBy("f1", "f2")
-    near = lambda name, step: F.lag(name, step).over(line)
-    differs = lambda step: (near("f1", step) != F.col("f1")) | (near("f2", step) != F.col("f2"))
-    met = index.withColumn("met", F.coalesce(differs(1), F.lit(False)) | F.coalesce(differs(-1), F.lit(False)))
-    met = met.where("met").select("key", "f1", "f2").distinct()
-    buckets = stored(met.join(classes, ["f1", "f2"]).select("key", F.col("class").alias("id")), f"{folder}/buckets")
-
-    families = stored(_families(buckets, classes), f"{folder}/families")
+    line = Window.partitionBy("key").orderBy("f1")
+    differs = lambda step: F.coalesce(F.lag("f1", step).over(line) != F.col("f1"), F.lit(False))
+    met = index.withColumn("met", differs(1) | differs(-1)).where("met").select("key", "f1").distinct()
+    buckets = stored(met.join(classes, "f1").select("key", F.col("class").alias("id")), f"{folder}/buckets")
+
+    near = stored(_near_links(buckets, classes, least), f"{folder}/near")
+    facts = classes.drop("band", "bitmaps", "size")
+    families = stored(_families(near, facts), f"{folder}/families")
     packed = stored(_packed_sets(docs, families, words), f"{folder}/packed")
-    return sets, classes, stored(_family_links(packed, least), f"{folder}/links")
+    links = stored(_family_links(packed, least), f"{folder}/links")
+    return sets.drop("band", "bitmaps"), classes.drop("band", "bitmaps"), links
 
 
 def _grouped(classes: DataFrame, links: DataFrame) -> DataFrame:
@@ -396,8 +539,8 @@ def similar_documents(docs: DataFrame, words: int = SHINGLE_WORDS, least: Fracti
 
     Two documents link if their shingles' intersection is at least ``least`` of their union.
     Equal sets are one class from the start. Bands' segments follow from counts of all sets.
-    Entries are sorted by key, and only keys with several classes go on; the sets that meet
-    are compared on all their shingles, block by block.
+    Entries are sorted by key, and only keys with several classes go on; of the sets that
+    meet, those whose bitmaps allow it are compared on all their shingles, block by block.
 
     Words are split at ASCII white space, A-Z in lower case. Null and empty texts and texts
     without words have no shingles and link with nothing, like rows without doc_id (their

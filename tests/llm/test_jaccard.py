@@ -71,6 +71,37 @@ def test_thin_sets_still_meet():
         assert set(one) & set(two)
 
 
+@pytest.mark.parametrize("least", RULES)
+def test_bitmaps_pass_every_similar_pair(least):
+    draw = np.random.default_rng(24)
+    apart, whole = least.denominator - least.numerator, least.denominator + least.numerator
+    passed = 0
+    for size in [*range(1, 40), 64, 100, 300, 1000, 4000]:
+        base = drawn(draw, size)
+        gone = int(size * (1 - least))
+        sets = [base, np.sort(draw.permutation(base)[gone:]), drawn(draw, size)]
+        counts = np.array([len(s) for s in sets])
+        own, maps = jaccard._bitmaps(np.concatenate(sets), counts, least)
+        # Their common band: the smaller set's.
+        one, two, other = (np.frombuffer(m[o - min(own)], "<u8") for m, o in zip(maps, own, strict=True))
+        def may(a, b, x, y):
+            return jaccard._may_be_similar(x, np.array([y]), a, b[None], apart, whole)[0]  # noqa: B023
+
+        assert may(one, two, counts[0], counts[1])
+        if len(other) == len(one):
+            passed += may(one, other, counts[0], counts[2]) and size > 100
+    assert passed == 0
+
+
+def test_buckets_of_many_blocks(spark, monkeypatch):
+    """A key of more sets than a row holds: blocks meet each other."""
+    monkeypatch.setattr(jaccard, "BUCKET_SETS", 4)
+    rows = [(i, f"{text_of('same', 80)} own{i} end{i}") for i in range(30)] + [(100 + i, text_of(f"x{i}", 40)) for i in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(map(tuple, jaccard.similar_documents(df).collect()))
+    assert got == brute_force(rows, 3, Fraction(9, 10))
+
+
 def brute_force(rows, words, least):
     sets = []
     for doc_id, text in rows:
