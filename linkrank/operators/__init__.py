@@ -32,7 +32,7 @@ from linkrank.operators.ranking import (
     rank_tables,
     receive_mass,
 )
-from linkrank.operators.topk import topk_pages
+from linkrank.operators.topk import topk_pages, topk_report
 
 __all__ = [
     "LinkGraph",
@@ -61,5 +61,6 @@ __all__ = [
     "require_unique_titles",
     "store_graph",
     "topk_pages",
+    "topk_report",
     "type_histogram",
 ]

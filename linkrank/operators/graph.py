@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from linkrank import constants as C
+from linkrank import folders
 from linkrank.functions.logmath import NEGATIVE_INFINITY
-from linkrank.operators.skew import copy_to_splits
+from linkrank.operators.skew import copy_to_splits, hot_limit, split_rows
 from linkrank.session import scratch_folder, stored
 
 # Longest list of links that is built into one row.
@@ -83,12 +84,19 @@ def store_graph(graph: LinkGraph, path: str | None = None) -> LinkGraph:
     """Write both tables below ``path``, or below the shared folder.
 
     Nodes that are just sources are counted from the edges already written, so the
-    job that made the edges runs once.
+    job that made the edges runs once. What is at ``path`` is replaced when both are complete.
     """
-    path = path or scratch_folder(graph.edges.sparkSession, "graph")
-    edges = stored(graph.edges, f"{path}/edges")
-    recount = graph.only_sources and not graph.is_stored
-    nodes = stored(source_nodes(edges) if recount else graph.nodes, f"{path}/nodes")
+    spark = graph.edges.sparkSession
+    path = (path or scratch_folder(spark, "graph")).rstrip("/")
+
+    def write(folder: str) -> None:
+        edges = stored(graph.edges, f"{folder}/edges")
+        recount = graph.only_sources and not graph.is_stored
+        stored(source_nodes(edges) if recount else graph.nodes, f"{folder}/nodes")
+
+    folders.replace(spark, path, write)
+    nodes = spark.read.schema(graph.nodes.schema).parquet(f"{path}/nodes")
+    edges = spark.read.schema(graph.edges.schema).parquet(f"{path}/edges")
     return LinkGraph(nodes, edges, True, graph.only_sources)
 
 
@@ -97,6 +105,28 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
+def _split_edges(graph: LinkGraph, links_per_row: int) -> DataFrame:
+    """``src, dst, split``: which of its page's rows each link goes to, at most ``links_per_row`` to one on average.
+
+    The pages with most links, fewer than 10,000, are broadcast. The number of rows of any
+    other long page meets its links in a join, where no page has more than a ten-thousandth
+    of all links, and the links of the former are spread already.
+    """
+    number = lambda splits: F.pmod(F.xxhash64("dst"), splits).cast("int")
+    pages = graph.nodes.select(F.col("title").alias("src"), "out_degree").where(F.col("out_degree") > links_per_row)
+    links = pages.agg(F.coalesce(F.sum("out_degree"), F.lit(0))).first()[0]
+    limit = hot_limit(links, links_per_row)
+    splits = F.ceil(F.col("out_degree") / links_per_row).cast("int").alias("splits")
+    hot = pages.where(F.col("out_degree") > limit).select("src", splits)
+    spread = split_rows(graph.edges, "src", "dst", hot)
+    if limit == links_per_row:
+        return spread
+    others = broadcast_if_small(
+        pages.where(F.col("out_degree") <= limit).select("src", splits, F.lit(0).alias("split")))
+    met = spread.join(others, ["src", "split"], "left")
+    return met.select("src", "dst", F.coalesce(number(F.col("splits")), F.col("split")).alias("split"))
+
+
 def adjacency(graph: LinkGraph, ranks: DataFrame | None = None, page_type: str = C.INITIALIZED,
               links_per_row: int = LINKS_PER_ROW) -> DataFrame:
     """``title, type, rank, links, continued``: the graph with a list of links per page.
@@ -107,18 +137,13 @@ def adjacency(graph: LinkGraph, ranks: DataFrame | None = None, page_type: str =
     """
     splits = F.greatest(F.ceil(F.col("out_degree") / links_per_row), F.lit(1)).cast("int")
     nodes = graph.nodes.select(F.col("title").alias("src"), splits.alias("splits"))
-    long_pages = graph.nodes.where(F.col("out_degree") > links_per_row)
-    long_pages = broadcast_if_small(
-        long_pages.select(F.col("title").alias("src"), splits.alias("splits"))
-    )
     if ranks is None:
         nodes = nodes.withColumn("rank", F.lit(NEGATIVE_INFINITY))
     else:
         nodes = _with_rank(nodes.withColumnRenamed("src", "title"), ranks).withColumnRenamed("title", "src")
-    split = F.coalesce(F.pmod(F.xxhash64("dst"), F.col("splits")).cast("int"), F.lit(0))
     lists = (
-        graph.edges.join(long_pages, "src", "left")
-        .groupBy("src", split.alias("split"))
+        _split_edges(graph, links_per_row)
+        .groupBy("src", "split")
         .agg(F.collect_list("dst").alias("links"))
     )
     rows = copy_to_splits(nodes).join(lists, ["src", "split"], "left")

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
+from linkrank import folders
+
 
 @lru_cache(maxsize=1)
 def _local_folder() -> str:
@@ -35,6 +38,14 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Remove a folder that ``scratch_folder`` named, or one inside it; anything else is refused."""
+    inner = path.removeprefix(f"{shared_folder(spark)}/")
+    if inner == path or ".." in inner.split("/") or not re.match(r".*-[0-9a-f]{32}(/|$)", inner):
+        raise ValueError(f"{path} is no folder of a run")
+    folders.remove(spark, path)
+
+
 def stored(df, path: str):
     """Write ``df`` to ``path`` and read it back: its lineage starts at the files."""
     df.write.mode("overwrite").parquet(path)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkrank import constants as C
+from linkrank import folders
 
 _BREAKS = r"[\t\n\r]"
 _NUMBER = r"[+-]?(?:NaN|Infinity|(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?[fFdD]?)"
@@ -55,7 +56,7 @@ def read_adjacency_text(spark: SparkSession, path: str | list[str], continued_pa
 
 
 def write_adjacency_text(adjacency: DataFrame, path: str) -> None:
-    """Write adjacency rows, replacing ``path``; fails on what the format cannot hold."""
+    """Write adjacency rows, replacing ``path``, which they may come from; fails on what the format cannot hold."""
     is_known = F.coalesce(F.col("type").isin(*C.PAGE_TYPES), F.lit(False))
     page_type = F.when(is_known, F.col("type")).otherwise(
         _failure("page type cannot be stored", F.col("type"))
@@ -66,4 +67,5 @@ def write_adjacency_text(adjacency: DataFrame, path: str) -> None:
         F.when(F.col("continued"), F.array(F.lit(""))).otherwise(F.array().cast("array<string>")),
         F.transform("links", lambda link: unbroken(link)),
     )
-    adjacency.select(F.array_join(fields, "\t").alias("value")).write.mode("overwrite").text(path)
+    lines = adjacency.select(F.array_join(fields, "\t").alias("value"))
+    folders.replace(adjacency.sparkSession, path, lines.write.text)

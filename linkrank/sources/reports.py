@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linkrank import folders
 from linkrank.sources.adjacency_text import unbroken
 
 
 def write_counters(counters: DataFrame, path: str) -> None:
     """``metric, value`` rows as JSON lines in one file, replacing ``path``."""
-    counters.coalesce(1).write.mode("overwrite").json(path)
+    folders.replace(counters.sparkSession, path, counters.coalesce(1).write.json)
 
 
 def read_counters(spark: SparkSession, path: str) -> DataFrame:
@@ -25,7 +26,7 @@ def write_topk_text(top: DataFrame, path: str) -> None:
     """
     title, rank = top.columns
     line = F.concat_ws("\t", unbroken(F.col(title), r"[\n\r]"), F.col(rank).cast("string"))
-    top.select(line.alias("value")).coalesce(1).write.mode("overwrite").text(path)
+    folders.replace(top.sparkSession, path, top.select(line.alias("value")).coalesce(1).write.text)
 
 
 def read_topk_text(spark: SparkSession, path: str, rank: str = "rank") -> DataFrame:

@@ -178,11 +178,14 @@ def test_log_masses_of_any_size_add_up(spark):
         "big": 900 + math.log(2)})
 
 
-def test_equal_hashes_fall_back_to_titles(spark, graph, monkeypatch):
-    # Every title gets one and the same hash.
-    monkeypatch.setattr(F, "xxhash64", lambda *columns: F.lit(7))
-    tables = lr.rank_tables(graph)
-    assert dict(tables.vertices.dtypes)["id"] == "string"
+@pytest.mark.parametrize("hot_rows", [1_000_000, 3])
+def test_equal_hashes_get_other_ids(spark, graph, monkeypatch, hot_rows):
+    # Every title gets one and the same hash, and it is one of the numbers that are given instead.
+    monkeypatch.setattr(F, "xxhash64", lambda *columns: F.lit(7).cast("long"))
+    tables = lr.rank_tables(graph, hot_rows)
+    assert dict(tables.vertices.dtypes)["id"] == "bigint"
+    ids = [row["id"] for row in tables.vertices.collect()]
+    assert len(set(ids)) == len(ids) and 7 not in ids
     tables.release()
     assert values(lr.pagerank_log(graph, 3)) == pytest.approx(LOG_RANKS[3], abs=1e-10)
 
