@@ -25,8 +25,8 @@ from linkrank.llm.lexicon import Lexicon, build
 from linkrank.llm.words import BYTE_LETTERS, chunks, small_batches, vocabulary_text, words
 
 LEXICON_WORDS = 1 << 16
-COUNTER_WORDS = 400_000
-MEMO_CHUNKS = 400_000
+COUNTER_WORDS = 150_000
+MEMO_CHUNKS = 120_000
 LONG_WORD = 512
 WIDTHS = (8, 16, 32, 64)
 _NEVER = 1 << 60
