@@ -121,8 +121,10 @@ def _split_edges(graph: LinkGraph, links_per_row: int) -> DataFrame:
     spread = split_rows(graph.edges, "src", "dst", hot)
     if limit == links_per_row:
         return spread
-    others = broadcast_if_small(
-        pages.where(F.col("out_degree") <= limit).select("src", splits, F.lit(0).alias("split")))
+    # Their links are all in one split so far; from a column, so that the join is by split too.
+    once = F.least(F.col("out_degree"), F.lit(1)).cast("int").alias("parts")
+    others = pages.where(F.col("out_degree") <= limit).select("src", splits, once)
+    others = broadcast_if_small(copy_to_splits(others, "parts"))
     met = spread.join(others, ["src", "split"], "left")
     return met.select("src", "dst", F.coalesce(number(F.col("splits")), F.col("split")).alias("split"))
 
