@@ -104,6 +104,10 @@ SCAN_CASES = {
     "<<page>a\r\nb\n</page>": ["<page>a\r\nb\n</page>"],
     "<page></page>": ["<page></page>"],
     "<page>ü😀</page>": ["<page>ü😀</page>"],
+    "junk</page><page>a</page>": ["<page>a</page>"],
+    "</page>\n</page><page>a</page> x</page><page>b</page>": ["<page>a</page>", "<page>b</page>"],
+    "only an end</page>": [],
+    "><page>a</page>": ["<page>a</page>"],
 }
 
 
@@ -134,6 +138,28 @@ def test_scan_reads_each_record_once_over_many_splits(spark, tmp_path, suffix):
     assert sorted(got) == sorted(records)
 
 
+@pytest.mark.parametrize("opener, suffix", [(open, ""), (bz2.open, ".bz2")])
+def test_heads_of_many_files_are_no_records(spark, tmp_path, opener, suffix):
+    """Parts of a dump that was cut anywhere: several small files and a large one of many splits."""
+    records = [f"<page><title>{i}</title>{'x' * (i * 37 % 3000)}</page>" for i in range(1500)]
+    parts = [records[:3], records[3:4], [], records[4:1400], records[1400:]]
+    for number, part in enumerate(parts):
+        with opener(tmp_path / f"{number}.xml{suffix}", "wb") as file:
+            file.write(("end of another</page>\n" + "\n".join(part) + "\n<page>cut").encode())
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        scan = lr.read_tagged_records(spark, str(tmp_path))
+        got = [row["rec"] for row in scan.collect()]
+        again = scan.coalesce(1).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted(got) == sorted(records) and len(again) == len(records)
+    # It is a table of the caller's session.
+    assert scan.sparkSession is spark
+    scan.createOrReplaceTempView("scanned")
+    assert spark.sql("SELECT count(*) FROM scanned").first()[0] == len(records)
+
+
 def test_other_tags(spark, tmp_path):
     path = tmp_path / "x.txt"
     path.write_text("[doc]1[/doc]junk[doc]2[/doc]")

@@ -44,9 +44,12 @@ def wiki_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def wiki_dump(spark: SparkSession, sf_dir: str, compression: str = "none") -> str:
-    """The records as dump files, with text around them and a record that was cut off."""
+    """The records as dump files, with text around them and a record that was cut off.
+
+    Each file begins with the end of a record that another file began.
+    """
     lines = wiki_records(spark, sf_dir).select(
-        F.concat(F.lit("<mediawiki>\n <siteinfo/> "), "rec", F.lit("\n ")).alias("value")
+        F.concat(F.lit("cut</revision></page>\n<mediawiki>\n <siteinfo/> "), "rec", F.lit("\n ")).alias("value")
     )
     cut_off = lines.sparkSession.createDataFrame([("<page><title>cut off</title>",)], lines.schema)
     path = scratch_folder(spark, "dump")

@@ -69,6 +69,10 @@ UNION ALL SELECT 'NO_LINKS', CAST(count(*) AS BIGINT) FROM classified
                  "DISAMBIGUATION", "STUB")
 )
 
+DUMP_COUNTERS = f"""{PARSE_COUNTERS}
+UNION ALL SELECT 'VERTICES', CAST(count(DISTINCT src) AS BIGINT) FROM raw
+UNION ALL SELECT 'EDGES', CAST(count(*) AS BIGINT) FROM raw"""
+
 
 def _succession(closed: bool = False) -> str:
     condition = "" if closed else "WHERE a.l_returnflag = 'R'"
@@ -181,6 +185,7 @@ SELECT regexp_extract(rec, '(?s)<revision>.*</revision>') AS rec FROM w""",
     "classify_pages": f"WITH {RECORDS} SELECT raw_title, body, outcome FROM classified",
     "parse_counters": PARSE_COUNTERS,
     "counters_roundtrip": PARSE_COUNTERS,
+    "dump_counters": DUMP_COUNTERS,
     "extract_links_raw": f"WITH {SPANS} SELECT raw_title, link FROM spans",
     "extract_links": f"WITH {WIKI_RAW} SELECT src, dst FROM raw",
     "normalize_titles": f"WITH {RECORDS} SELECT raw_title, {_normal('raw_title')} AS title FROM classified",
@@ -212,6 +217,7 @@ SELECT DISTINCT dst AS title FROM edges WHERE NOT EXISTS (SELECT 1 FROM nodes WH
     "duplicate_titles": f"""WITH {HTML_TITLES}
 SELECT title, CAST(count(*) AS BIGINT) AS pages FROM h GROUP BY title HAVING count(*) > 1""",
     "snapshot_roundtrip": EDGES_WITH_DEGREE,
+    "graph_overwrites_itself": EDGES_WITH_DEGREE,
     "adjacency_text_roundtrip": _adjacency(PARTS),
     "adjacency_text_long_pages": EDGES_WITH_DEGREE,
     "pagerank_contributions": f"""WITH {PARTS}
@@ -238,10 +244,14 @@ UNION ALL SELECT * FROM ({_missing_masses(CLOSED_PARTS, "closed")})""",
 SELECT r.title, 'COMPLETED' AS type, round(any_value(rank), {DIGITS}) AS rank,
        array_to_string(list_sort(list(dst)), chr(9)) AS links
 FROM r{ITERATIONS} r JOIN edges ON src = r.title GROUP BY r.title""",
+    "pagerank_basic_text_resume": BASIC_RANKS,
     "pagerank_basic_resume": BASIC_RANKS,
     "pagerank_log": _log_ranks(PARTS),
     "pagerank_log_closed": _log_ranks(CLOSED_PARTS),
     "pagerank_resume": _log_ranks(PARTS),
+    "pagerank_resume_layout": _log_ranks(PARTS),
+    "pagerank_after_interruption": _log_ranks(PARTS),
+    "pagerank_from_log_ranks": _log_ranks(PARTS),
     "pagerank_nodes_override": _log_ranks(PARTS, "(SELECT 2 * n FROM n)"),
     "iteration_counters": f"""WITH {PARTS}
 SELECT 'NODES' AS metric, CAST(n AS BIGINT) AS value FROM n
@@ -256,5 +266,8 @@ SELECT round(sum(rank), 9) AS total FROM r{ITERATIONS}""",
     "topk_text_roundtrip": _top(PARTS),
     "topk_repeated_titles": f"""WITH {HTML_TITLES}
 SELECT title, CAST(max(page_id) AS DOUBLE) AS rank FROM h GROUP BY title ORDER BY rank DESC, title LIMIT 20""",
+    "topk_duplicates_report": f"""WITH {HTML_TITLES}, pages_of AS (SELECT title, max(page_id) AS best, count(*) AS n FROM h GROUP BY title)
+SELECT title, CAST(best AS DOUBLE) AS rank, (SELECT count(*) FROM pages_of WHERE n > 1) AS repeated_titles,
+  (SELECT CAST(sum(n - 1) AS BIGINT) FROM pages_of) AS repeated_rows FROM pages_of ORDER BY rank DESC, title LIMIT 20""",
     "dump_to_topk": _top(WIKI),
 }

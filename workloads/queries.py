@@ -26,6 +26,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 ITERATIONS = 3
 PREVIEW_PAGES = 25
 
+# Links a page may have before it is split in the stored layout.
+LAYOUT_HOT_ROWS = 4
+
 # Decimals compared, and decimals on which equal ranks agree.
 DIGITS = 8
 TIE_DIGITS = 12
@@ -113,6 +116,13 @@ def counters_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lr.read_counters(spark, path)
 
 
+def dump_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twelve counters that a parse of dump files stores."""
+    work = scratch_folder(spark, "dump-work")
+    lr.parse_dump(spark, wiki_dump(spark, sf_dir), work)
+    return lr.read_counters(spark, f"{work}/counters")
+
+
 def extract_links_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lr.raw_links(lr.classify_pages(wiki_records(spark, sf_dir)))
 
@@ -203,6 +213,15 @@ def snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.edges.join(graph.nodes.withColumnRenamed("title", "src"), "src")
 
 
+def graph_overwrites_itself(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A graph written to where it is read from."""
+    path = scratch_folder(spark, "graph")
+    lr.write_graph(lr.build_graph(succession_raw(spark, sf_dir)), path)
+    lr.write_graph(lr.read_graph(spark, path), path)
+    graph = lr.read_graph(spark, path)
+    return graph.edges.join(graph.nodes.withColumnRenamed("title", "src"), "src")
+
+
 def adjacency_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     graph = succession_graph(spark, sf_dir)
     path = scratch_folder(spark, "adjacency")
@@ -301,6 +320,16 @@ def pagerank_basic_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_text(back).select("title", "type", rounded("rank"), "links")
 
 
+def pagerank_basic_text_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last iteration from ranked adjacency text, in which pages take several lines."""
+    graph = succession_graph(spark, sf_dir)
+    path = scratch_folder(spark, "adjacency")
+    ranks = lr.pagerank_basic(graph, ITERATIONS - 1)
+    lr.write_adjacency_text(lr.adjacency(graph, ranks, C.COMPLETED, links_per_row=2), path)
+    lines = lr.read_adjacency_text(spark, path, continued_pages=True)
+    return plain_ranks(lr.pagerank_basic(lr.graph_from_adjacency(lines), ITERATIONS, ITERATIONS, ranks=lines))
+
+
 def pagerank_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log_ranks(lr.pagerank_log(succession_graph(spark, sf_dir), ITERATIONS))
 
@@ -318,6 +347,30 @@ def pagerank_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log_ranks(ranks.withColumn("log_rank", safe_ln(F.col("rank"))))
 
 
+def pagerank_resume_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last iterations on the stored layout, its edges in buckets, of the first ones."""
+    graph = succession_graph(spark, sf_dir)
+    base = scratch_folder(spark, "ranks")
+    lr.pagerank_log(graph, 1, base_path=base, hot_rows=LAYOUT_HOT_ROWS)
+    return log_ranks(lr.pagerank_log(graph, ITERATIONS, 2, base_path=base, hot_rows=LAYOUT_HOT_ROWS))
+
+
+def pagerank_after_interruption(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Goes on from the last complete snapshot, where the next one was not written to the end."""
+    graph = succession_graph(spark, sf_dir)
+    base = scratch_folder(spark, "ranks")
+    lr.pagerank_log(graph, ITERATIONS - 1, base_path=base)
+    half = lr.read_ranks(spark, base, ITERATIONS).where(F.xxhash64("title") % 2 == 0)
+    half.write.parquet(lr.iteration_path(base, ITERATIONS + 1))
+    return log_ranks(lr.pagerank_log(graph, ITERATIONS, lr.last_iteration(spark, base), base_path=base))
+
+
+def pagerank_from_log_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    graph = succession_graph(spark, sf_dir)
+    ranks = lr.pagerank_log(graph, ITERATIONS - 1).select("title", "log_rank")
+    return log_ranks(lr.pagerank_log(graph, ITERATIONS, ITERATIONS, ranks=ranks))
+
+
 def pagerank_basic_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     graph = succession_graph(spark, sf_dir)
     base = scratch_folder(spark, "ranks")
@@ -360,6 +413,13 @@ def topk_repeated_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lr.topk_pages(ranks, 20, unique=False)
 
 
+def topk_duplicates_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The top list of titles that repeat, with how many do."""
+    ranks = html_titles(spark, sf_dir).select("title", F.col("page_id").cast("double").alias("rank"))
+    top, repeats = lr.topk_report(ranks, scratch_folder(spark, "top"), 20)
+    return top.select("title", "rank", *(F.lit(value).cast("long").alias(name) for name, value in repeats.items()))
+
+
 def dump_to_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     top = lr.dump_to_topk(spark, wiki_dump(spark, sf_dir), ITERATIONS, 10, tie_digits=TIE_DIGITS)
     return top.select("title", rounded("log_rank"))
@@ -378,6 +438,7 @@ QUERIES: dict[str, Query] = {
     "classify_pages": classify_pages,
     "parse_counters": parse_counters,
     "counters_roundtrip": counters_roundtrip,
+    "dump_counters": dump_counters,
     "extract_links_raw": extract_links_raw,
     "extract_links": wiki_edges,
     "normalize_titles": normalize_titles,
@@ -393,6 +454,7 @@ QUERIES: dict[str, Query] = {
     "missing_structure": missing_structure,
     "duplicate_titles": duplicate_titles,
     "snapshot_roundtrip": snapshot_roundtrip,
+    "graph_overwrites_itself": graph_overwrites_itself,
     "adjacency_text_roundtrip": adjacency_text_roundtrip,
     "adjacency_text_long_pages": adjacency_text_long_pages,
     "pagerank_contributions": pagerank_contributions,
@@ -403,15 +465,20 @@ QUERIES: dict[str, Query] = {
     "missing_mass": missing_mass,
     "pagerank_basic": pagerank_basic,
     "pagerank_basic_text": pagerank_basic_text,
+    "pagerank_basic_text_resume": pagerank_basic_text_resume,
     "pagerank_basic_resume": pagerank_basic_resume,
     "pagerank_log": pagerank_log,
     "pagerank_log_closed": pagerank_log_closed,
     "pagerank_resume": pagerank_resume,
+    "pagerank_resume_layout": pagerank_resume_layout,
+    "pagerank_after_interruption": pagerank_after_interruption,
+    "pagerank_from_log_ranks": pagerank_from_log_ranks,
     "pagerank_nodes_override": pagerank_nodes_override,
     "iteration_counters": iteration_counters,
     "rank_mass_total": rank_mass_total,
     "topk_pages": topk_pages,
     "topk_text_roundtrip": topk_text_roundtrip,
     "topk_repeated_titles": topk_repeated_titles,
+    "topk_duplicates_report": topk_duplicates_report,
     "dump_to_topk": dump_to_topk,
 }
