@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkrank.session import scratch_folder, stored
+from linkrank.session import drop_scratch, scratch_folder, stored
 
 STAR_ROUNDS = 2
 
@@ -41,7 +41,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternates large and small stars, written to the shared folder after each step, until
     nothing changes: then every node hangs on its component's least. No group is gathered:
-    a step is a partial minimum and a join. Nulls make no edge; an empty table gives none.
+    a step is a partial minimum and a join. A step's table goes when the next but one is
+    written. Nulls make no edge; an empty table gives none.
     """
     spark, folder = edges.sparkSession, scratch_folder(edges.sparkSession, "components")
     now = stored(_edges(edges.where("a IS NOT NULL AND b IS NOT NULL")), f"{folder}/0")
@@ -50,6 +51,8 @@ def components(edges: DataFrame) -> DataFrame:
         step += 1
         now = stored(_stars(_stars(now, larger=True), larger=False), f"{folder}/{step}")
         before, mark = mark, _mark(now)
+        if step > 1:
+            drop_scratch(spark, f"{folder}/{step - 2}")
         if before == mark:
             break
     ids = now.select(F.col("b").alias("id"), F.col("a").alias("component"))

@@ -24,6 +24,8 @@ BATCH = 32
 #: This share of the sample sets temperature and cut; the cut keeps this share of its rightly told documents.
 CALIBRATION = 0.25
 KEPT = 0.999
+#: Rows kept aside that are enough to set the cut; with fewer, all take turns.
+LEAST_CHECK = 20
 MOST_CUT = 0.5
 CHUNK = 1 << 20
 
@@ -114,14 +116,28 @@ def fit(grams: list[np.ndarray], weights: list[np.ndarray], labels: np.ndarray,
     return embedding @ out, bias
 
 
+def _calibrated(raw: np.ndarray, right: np.ndarray) -> tuple[float, float]:
+    """The temperature of least loss, and the cut, from scores of rows that the fit had not seen; 1 and 0 without any."""
+    if not len(raw):
+        return 1.0, 0.0
+    loss = lambda t: -np.log(softmax(raw / t)[np.arange(len(raw)), right] + 1e-12).mean()
+    temperature = float(min(np.geomspace(0.2, 5, 33), key=loss))
+    share = softmax(raw / temperature)
+    told = share.argmax(axis=1) == right
+    cut = min(MOST_CUT, float(np.quantile(share[told].max(axis=1), 1 - KEPT))) if told.any() else 0.0
+    return temperature, cut
+
+
 def train(docs: DataFrame, per_class: int = SAMPLE_PER_CLASS, buckets: int = BUCKETS) -> LanguageModel:
     """Fits on a bounded sample of documents with a language outside the held-out fold.
 
     The sample's ids are broadcast; the driver receives their subword counts. A quarter of
     the sample is kept from the fit and sets the temperature (least loss) and the cut below
     which a document is rejected: the score that ``KEPT`` of the rightly told ones reach, and
-    never over ``MOST_CUT``. No usable row: a model that knows no language and says ``und``;
-    one language: that one, for every text with a letter.
+    never over ``MOST_CUT``. If that is fewer than ``LEAST_CHECK`` rows, all rows take turns:
+    each quarter is scored by a model of the others, and the final one is fitted on all. No
+    usable row: a model that knows no language and says ``und``; one language: that one, for
+    every text with a letter.
     """
     usable = docs.where((fold(FOLDS) != HELD_OUT) & F.col("text").isNotNull())
     sample = F.broadcast(labelled_sample(usable, "lang", per_class))
@@ -152,18 +168,23 @@ def train(docs: DataFrame, per_class: int = SAMPLE_PER_CLASS, buckets: int = BUC
     kept = np.flatnonzero(~aside) if (~aside).any() else np.arange(len(data))
     if not len(data):
         return LanguageModel(languages, np.zeros((buckets, len(languages)), np.float32), np.zeros(len(languages)), 1.0, 0.0)
-    scores, bias = fit([grams[i] for i in kept], [weights[i] for i in kept], labels[kept], len(languages), buckets)
-    temperature, cut = 1.0, 0.0
+    def fitted(of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return fit([grams[i] for i in of], [weights[i] for i in of], labels[of], len(languages), buckets)
+
+    def told_by(model: tuple[np.ndarray, np.ndarray], of: np.ndarray) -> np.ndarray:
+        return np.array([weights[i] @ model[0][grams[i]] + model[1] for i in of]).reshape(len(of), len(languages))
+
     check = np.flatnonzero(aside)
-    if len(check) >= 20:
-        raw = np.array([weights[i] @ scores[grams[i]] + bias for i in check])
-        right = labels[check]
-        loss = lambda t: -np.log(softmax(raw / t)[np.arange(len(check)), right] + 1e-12).mean()
-        temperature = float(min(np.geomspace(0.2, 5, 33), key=loss))
-        share = softmax(raw / temperature)
-        told = share.argmax(axis=1) == right
-        if told.any():
-            cut = min(MOST_CUT, float(np.quantile(share[told].max(axis=1), 1 - KEPT)))
+    if len(check) >= LEAST_CHECK:
+        scores, bias = fitted(kept)
+        raw = told_by((scores, bias), check)
+    else:
+        scores, bias = fitted(np.arange(len(data)))
+        parts = [part for part in np.array_split(np.random.default_rng(12).permutation(len(data)), 4) if 0 < len(part) < len(data)]
+        check = np.concatenate([np.zeros(0, np.int64), *parts])
+        raw = np.concatenate([np.zeros((0, len(languages))), *(
+            told_by(fitted(np.setdiff1d(np.arange(len(data)), part)), part) for part in parts)])
+    temperature, cut = _calibrated(raw, labels[check])
     return LanguageModel(languages, scores.astype(np.float32), bias, temperature, cut)
 
 
@@ -188,8 +209,14 @@ def identify(docs: DataFrame, model: LanguageModel, column: str = "__language")
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose language is told with enough confidence, with the columns they had."""
-    return identify(docs, train(docs)).where("__language.accepted").drop("__language")
+    """The rows of ``docs`` whose language is told with enough confidence, with the columns they had.
+
+    Where no row names a language, nothing can be told and all rows stay.
+    """
+    model = train(docs)
+    if not model.languages:
+        return docs
+    return identify(docs, model).where("__language.accepted").drop("__language")
 
 
 def languages(docs: DataFrame) -> DataFrame:

@@ -2,6 +2,17 @@
 
 from __future__ import annotations
 
+# Base32 of a SHA-1: five hexadecimal digits make four letters.
+OP1 = r"""WITH p AS (SELECT page_id, url, coalesce(html, '') AS x FROM pages),
+h AS (SELECT *, strlen(x) AS n, sha1(x) AS hex, max(page_id) OVER (PARTITION BY x) AS original FROM p)
+SELECT page_id, n::BIGINT AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    ((('0x' || substr(hex, (5 * (i // 4) + 1)::INTEGER, 5))::INTEGER >> (15 - 5 * (i % 4))::INTEGER) & 31) + 1, 1)), '') AS payload_digest,
+  CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> original THEN original END AS refers_to,
+  CASE WHEN coalesce(url, '') = '' THEN 'about:blank' ELSE url END AS target_uri
+FROM h"""
+
 OP4 = r"""WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e, label FROM embeddings),
 near AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
   WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
@@ -61,6 +72,7 @@ FROM p JOIN s n ON n.anchor_id = p.anchor_id AND NOT n.same AND 50 * p.score <=
 QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.other ORDER BY n.score DESC, n.other) <= 3"""
 
 ORACLES: dict[str, str] = {
+    "op1_warc_roundtrip": OP1,
     "op4_lattice_duplicates": OP4,
     "op10_jaccard_join": OP10,
     "op11_exact_copies": OP11,

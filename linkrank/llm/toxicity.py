@@ -16,8 +16,11 @@ from linkrank.llm.sampling import fold, labelled_sample, sigmoid
 FOLDS, HELD_OUT = 5, 0
 #: Rows of each class that the classifier is fitted on, and what it may hold.
 SAMPLE_PER_CLASS = 4000
-FEATURES = 1 << 11
+FEATURES = 1 << 12
+#: A feature counts if so many rows of the sample have it, and if its chi-square with the label
+#: is at least this (1 % of features without any bearing reach 6.6); the largest come first.
 LEAST_DOCS = 3
+LEAST_CHI = 6.0
 PREFIXES = (4, 5, 6)
 STEPS = 400
 RATE = 0.3
@@ -171,7 +174,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS,
         n, both = float(clean + toxic), F.col("clean") + F.col("toxic")
         gap = F.col("toxic") * float(clean) - F.col("clean") * float(toxic)
         chi = n * gap * gap / (float(clean) * toxic * both * F.greatest(n - both, F.lit(1.0)))
-        best = counts.where(both >= LEAST_DOCS).withColumn("chi", F.round(chi, 6)).where("chi >= 12")
+        best = counts.where(both >= LEAST_DOCS).withColumn("chi", F.round(chi, 6)).where(F.col("chi") >= LEAST_CHI)
         chosen = [row.feature for row in best.orderBy(F.desc("chi"), "feature").limit(n_features).collect()]
     names = sorted({*chosen, *known})
     place = {name: i for i, name in enumerate(names)}
@@ -211,8 +214,14 @@ def score_documents(docs: DataFrame, model: ToxicityModel, column: str = "score"
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that score below 0.5, with the columns they had."""
-    scored = score_documents(docs, train(docs, labels), "__score")
+    """The rows of ``docs`` that score below 0.5, with the columns they had.
+
+    Where nothing could be learnt, for want of labels of both kinds, all rows stay.
+    """
+    model = train(docs, labels)
+    if not model.weights:
+        return docs
+    scored = score_documents(docs, model, "__score")
     return scored.where("__score < 0.5").drop("__score")
 
 

@@ -51,13 +51,13 @@ def record_id(page_id: int | None) -> str:
 
 
 def page_of(identifier: str) -> int | None:
-    """The page id in a record id."""
+    """The page id in a record id; None for ids that this module did not give."""
     try:
         value = uuid.UUID(identifier.removeprefix("<urn:uuid:").removesuffix(">")).int
-    except ValueError as error:
-        raise WarcError(f"not a record id: {identifier!r}") from error
+    except ValueError:
+        return None
     if value >> 76 & 0xF != 8:
-        raise WarcError(f"not a page's record id: {identifier!r}")
+        return None
     bits = value >> 80 << 16 | (value >> 64 & 0xFFF) << 4 | value >> 58 & 0xF
     return None if value & 1 else bits - (bits >> 63 << 64)
 
@@ -84,19 +84,33 @@ def page_record(page_id: int | None, url: str | None, payload: bytes, original:
     return _record(fields, http.encode() + (b"" if revisit else payload))
 
 
-def _fields(head: bytes, what: str) -> tuple[str, dict[str, str]]:
+class Fields(dict):
+    """Header fields by lower-case name: the first value of each, and in ``every`` all of them in order."""
+
+    def __init__(self):
+        super().__init__()
+        self.every: dict[str, list[str]] = {}
+
+    def add(self, name: str, value: str) -> None:
+        self.setdefault(name, value)
+        self.every.setdefault(name, []).append(value)
+
+
+def _fields(head: bytes, what: str, once: tuple[str, ...]) -> tuple[str, Fields]:
+    """The first line and the fields of a header. Fields may be repeated, but for those of ``once``."""
     try:
         first, *lines = head.decode().split("\r\n")
     except UnicodeDecodeError as error:
         raise WarcError(f"{what} is not UTF-8") from error
-    fields = {}
+    fields = Fields()
     for line in lines:
         name, colon, value = line.partition(":")
         if not colon or not name or name != name.strip():
             raise WarcError(f"{what} has the line {line!r}")
-        if name.lower() in fields:
+        fields.add(name.lower(), value.strip())
+    for name in once:
+        if len(set(fields.every.get(name, ()))) > 1:
             raise WarcError(f"{what} repeats {name}")
-        fields[name.lower()] = value.strip()
     return first, fields
 
 
@@ -107,12 +121,12 @@ def _length(fields: dict[str, str], what: str) -> int:
     return int(value)
 
 
-def parse_record(raw: bytes) -> tuple[dict[str, str], bytes]:
-    """Header fields (lower-case names) and block of one record, which must be all of ``raw``."""
+def parse_record(raw: bytes) -> tuple[Fields, bytes]:
+    """Header fields and block of one record, which must be all of ``raw``."""
     head, mark, rest = raw.partition(END)
     if not mark:
         raise WarcError("a record's header does not end")
-    version, fields = _fields(head, "a record's header")
+    version, fields = _fields(head, "a record's header", MANDATORY)
     if not version.startswith("WARC/1."):
         raise WarcError(f"not a WARC version: {version!r}")
     for name in MANDATORY:
@@ -124,29 +138,64 @@ def parse_record(raw: bytes) -> tuple[dict[str, str], bytes]:
     return fields, rest[:length]
 
 
+def _unchunked(body: bytes) -> bytes:
+    """A body of HTTP chunks put together; what follows the last one (trailers) is left out."""
+    parts, at = [], 0
+    while True:
+        end = body.find(b"\r\n", at)
+        size = body[at:end].partition(b";")[0].strip() if end >= 0 else b""
+        try:
+            length = int(size, 16)
+        except ValueError as error:
+            raise WarcError(f"a chunk has the size {size!r}") from error
+        if not length:
+            return b"".join(parts)
+        at = end + 2 + length
+        if body[at:at + 2] != b"\r\n":
+            raise WarcError(f"a chunk is not {length} bytes and a line's end")
+        parts.append(body[end + 2:at])
+        at += 2
+
+
 def parse_page(fields: dict[str, str], block: bytes) -> dict | None:
-    """A page's row from its record; None for records of other types."""
+    """A page's row from its record; None for records of other types.
+
+    The payload is the body, without chunks if HTTP sent it in some. Its length is checked
+    where HTTP gives one, and a SHA-1 where the record has one, which may be of the body as
+    sent. Records that are not this module's have no page_id; their digest is taken here.
+    """
     kind = fields["warc-type"]
     if kind not in ("response", "revisit"):
         return None
-    head, mark, payload = block.partition(END)
+    head, mark, body = block.partition(END)
     if not mark:
         raise WarcError("an HTTP header does not end")
-    status, http = _fields(head, "an HTTP header")
+    status, http = _fields(head, "an HTTP header", ("content-length",))
     if not status.startswith("HTTP/"):
         raise WarcError(f"not an HTTP status: {status!r}")
-    length = _length(http, "an HTTP header")
+    length = _length(http, "an HTTP header") if "content-length" in http else None
     algorithm, _, wanted = fields.get("warc-payload-digest", "").partition(":")
-    if algorithm != "sha1" or not wanted:
-        raise WarcError("a page's record has no SHA-1 of its payload")
+    wanted = wanted.upper() if algorithm.lower() == "sha1" else ""
     if kind == "revisit":
-        if payload or fields.get("warc-profile") != REVISIT_PROFILE or "warc-refers-to" not in fields:
-            raise WarcError("a revisit has a payload, another profile or no original")
-    elif len(payload) != length or digest(payload) != wanted:
-        raise WarcError("a payload fails its length or digest")
-    return {"page_id": page_of(fields["warc-record-id"]), "payload_bytes": length, "payload_digest": wanted,
-            "record_type": kind, "refers_to": page_of(fields["warc-refers-to"]) if kind == "revisit" else None,
-            "target_uri": fields.get("warc-target-uri"), "payload": payload if kind == "response" else None}
+        if body or "warc-profile" not in fields:
+            raise WarcError("a revisit has a payload or no profile")
+        if fields["warc-profile"] == REVISIT_PROFILE and not wanted and "warc-refers-to" not in fields:
+            raise WarcError("a revisit of a payload does not tell which")
+        original = fields.get("warc-refers-to")
+        return _row(fields, length, wanted or None, kind, page_of(original) if original else None, None)
+    chunked = "chunked" in http.get("transfer-encoding", "").lower()
+    payload = _unchunked(body) if chunked else body
+    if length is not None and not chunked and len(body) != length:
+        raise WarcError("a payload fails its length")
+    found = digest(payload)
+    if wanted and wanted not in (found, digest(body)):
+        raise WarcError("a payload fails its digest")
+    return _row(fields, len(payload), found, kind, None, payload)
+
+
+def _row(fields, length, sha1, kind, refers_to, payload) -> dict:
+    return {"page_id": page_of(fields["warc-record-id"]), "payload_bytes": length, "payload_digest": sha1,
+            "record_type": kind, "refers_to": refers_to, "target_uri": fields.get("warc-target-uri"), "payload": payload}
 
 
 class ArchiveWriter:

@@ -1,0 +1,64 @@
+"""Reading archives that other writers made."""
+
+from __future__ import annotations
+
+import hashlib
+
+import pytest
+
+from linkrank.llm import warc
+
+
+def record(http, body, kind="response", extra=(), digest="sha1"):
+    fields = [("WARC-Type", kind), ("WARC-Record-ID", "<urn:uuid:12345678-1234-4234-8234-123456789abc>"),
+              ("WARC-Date", "2020-01-01T00:00:00Z"), ("WARC-Target-URI", "http://a/"), *extra]
+    if digest:
+        found = warc.digest(body) if digest == "sha1" else hashlib.sha256(body).hexdigest()
+        fields.append(("WARC-Payload-Digest", f"{digest}:{found}"))
+    return warc._record(fields, "\r\n".join(["HTTP/1.1 200 OK", *http]).encode() + b"\r\n\r\n" + body)
+
+
+def read(raw):
+    return warc.parse_page(*warc.parse_record(raw))
+
+
+def test_repeated_fields_and_no_length():
+    extra = [("WARC-Concurrent-To", "<urn:uuid:a>"), ("WARC-Concurrent-To", "<urn:uuid:b>")]
+    raw = record(["Set-Cookie: a=1", "Set-Cookie: b=2"], b"body", extra=extra)
+    fields, _ = warc.parse_record(raw)
+    assert fields.every["warc-concurrent-to"] == ["<urn:uuid:a>", "<urn:uuid:b>"]
+    row = read(raw)
+    assert (row["page_id"], row["payload"], row["payload_bytes"], row["payload_digest"]) == (None, b"body", 4, warc.digest(b"body"))
+    for name, value in (("WARC-Type", "request"), ("WARC-Date", "2021-01-01T00:00:00Z")):
+        with pytest.raises(warc.WarcError, match="repeats"):
+            warc.parse_record(record([], b"", extra=[(name, value)]))
+
+
+def test_chunked_bodies():
+    body = b"4\r\nWiki\r\n6;x=y\r\npedia \r\n0\r\nTrailer: t\r\n\r\n"
+    row = read(record(["Transfer-Encoding: chunked", "Content-Length: 3"], body))
+    assert row["payload"] == b"Wikipedia " and row["payload_digest"] == warc.digest(b"Wikipedia ")
+    for bad in (b"4\r\nWik\r\n0\r\n\r\n", b"zz\r\n", b"", b"4\r\nWiki"):
+        with pytest.raises(warc.WarcError, match="chunk"):
+            read(record(["Transfer-Encoding: chunked"], bad))
+
+
+def test_digests_where_there_are_some():
+    assert read(record([], b"x", digest=None))["payload_digest"] == warc.digest(b"x")
+    assert read(record([], b"x", digest="sha256"))["payload_digest"] == warc.digest(b"x")
+    lower = record([], b"x").replace(warc.digest(b"x").encode(), warc.digest(b"x").lower().encode())
+    assert read(lower)["payload"] == b"x"
+    with pytest.raises(warc.WarcError, match="digest"):
+        read(record([], b"x").replace(warc.digest(b"x").encode(), warc.digest(b"y").encode()))
+    with pytest.raises(warc.WarcError, match="length"):
+        read(record(["Content-Length: 2"], b"x"))
+
+
+def test_revisits_of_other_writers():
+    profile = ("WARC-Profile", warc.REVISIT_PROFILE)
+    row = read(record([], b"", "revisit", [profile], digest="sha1"))
+    assert (row["record_type"], row["payload"], row["refers_to"], row["payload_bytes"]) == ("revisit", None, None, None)
+    for extra, body, digest in (([], b"", "sha1"), ([profile], b"body", "sha1"), ([profile], b"", None)):
+        with pytest.raises(warc.WarcError, match="revisit"):
+            read(record([], body, "revisit", extra, digest))
+    assert read(record([], b"", "resource")) is None
