@@ -1,16 +1,14 @@
-"""Connected components, and links enough to find them among the members of buckets."""
+"""Connected components, and groups whose members meet in blocks."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkrank.session import drop_scratch, scratch_folder, stored
 
-STAR_ROUNDS = 2
-
 
 def _edges(df: DataFrame) -> DataFrame:
     return (
@@ -63,44 +61,60 @@ def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
 
 
-def link_buckets(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], fits=None) -> DataFrame:
-    """Components among the members of buckets, as ``id`` and ``component``.
+def pairs_of_blocks(packed: DataFrame, *of: str) -> DataFrame:
+    """Rows (rows, others): each block (``of``, block, blocks, rows) alone, and each two that belong together.
+
+    So the members of a group meet each other however many they are, and no two of them are a row.
+    """
+    alone = packed.select("rows", F.lit(None).cast(packed.schema["rows"].dataType).alias("others"))
+    several = packed.where("blocks > 1")
+    left = several.where("block < blocks - 1").withColumn(
+        "other", F.explode(F.sequence(F.col("block") + 1, F.col("blocks") - 1)))
+    right = several.select(*of, F.col("block").alias("other"), F.col("rows").alias("others"))
+    return alone.unionByName(left.join(right, [*of, "other"]).select("rows", "others"))
+
+
+def packed_groups(members: DataFrame, most: int, *of: str) -> DataFrame:
+    """Rows (rows, others) in which the ``row`` structs (with an ``id``) of ``members`` meet those of their group.
 
-    ``buckets`` has ``key``, ``id``, ``home`` (only pairs with a home member count) and what
-    ``fits(left, right)``, a condition on two members, needs. ``verify`` gets distinct pairs
-    (a < b) and returns those that link. First each member is held against one of its
-    bucket, chosen anew in each round; then every pair that shares a bucket and is still in
-    two components. Pairs within a component need no check, so a dense group costs about as
-    many checks as it has members, and no pair that could join two components is left out.
+    A group (``of``) of more than ``most`` members is dealt to several blocks.
     """
-    spark: SparkSession = buckets.sparkSession
-    folder = scratch_folder(spark, "links")
-    links = seen = None
-    members = buckets.withColumn("component", F.col("id"))
-    found = None
-    for turn in range(STAR_ROUNDS + 1):
-        if found is not None:
-            known = found.withColumnRenamed("component", "known")
-            members = buckets.join(known, "id", "left").withColumn(
-                "component", F.coalesce("known", "id")).drop("known")
-        left = members
-        if turn < STAR_ROUNDS:
-            chosen = F.min_by(F.struct(*members.columns), F.struct(~F.col("home"), F.xxhash64("id", F.lit(turn))))
-            left = members.groupBy("key").agg(chosen.alias("m")).select("m.*")
-        x, y = left.alias("x"), members.alias("y")
-        apart = F.col("x.component") != F.col("y.component")
-        apart &= F.col("x.home") | F.col("y.home")
-        if turn == STAR_ROUNDS:
-            apart &= F.col("x.id") < F.col("y.id")
-        if fits is not None:
-            apart &= fits("x", "y")
-        pairs = x.join(y, F.col("x.key") == F.col("y.key")).where(apart).select(
-            F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
-        if seen is not None:
-            pairs = pairs.join(seen, ["a", "b"], "left_anti")
-        pairs = stored(pairs, f"{folder}/pairs-{turn}")
-        seen = pairs if seen is None else seen.union(pairs)
-        new = stored(verify(pairs), f"{folder}/links-{turn}")
-        links = new if links is None else links.union(new)
-        found = components(links)
-    return found
+    counts = members.groupBy(*of).count().where(F.col("count") > most)
+    large = counts.select(*of, F.ceil(F.col("count") / most).cast("int").alias("blocks"))
+    if large.isEmpty():
+        rows = members.groupBy(*of).agg(F.collect_list("row").alias("rows"))
+        return rows.select("rows", F.lit(None).cast(rows.schema["rows"].dataType).alias("others"))
+    dealt = members.join(large, list(of), "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("row.id"), F.col("blocks")).cast("int"))
+    packed = dealt.groupBy(*of, "block").agg(F.first("blocks").alias("blocks"), F.collect_list("row").alias("rows"))
+    return pairs_of_blocks(packed, *of)
+
+
+def list_sizes(lists: pa.ListArray) -> np.ndarray:
+    return lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def both(lists: list[pa.ListArray], name: str) -> pa.Array:
+    """The field ``name`` of all structs, row by row: those of a row's first list, then those of its second."""
+    parts = [column.flatten().field(name) for column in lists]
+    if not len(parts[1]):
+        return pa.concat_arrays([parts[0]])
+    sizes = [list_sizes(column) for column in lists]
+    owner = np.concatenate([np.repeat(np.arange(len(size)), size) for size in sizes])
+    return pa.concat_arrays(parts).take(pa.array(np.argsort(owner, kind="stable")))
+
+
+def forest(near: np.ndarray) -> list[tuple[int, int]]:
+    """Links that connect what a symmetric matrix of links connects."""
+    left, out = np.ones(len(near), dtype=bool), []
+    for root in range(len(near)):
+        if not left[root]:
+            continue
+        left[root], todo = False, [root]
+        while todo:
+            at = todo.pop()
+            new = np.flatnonzero(near[at] & left)
+            left[new] = False
+            out += [(at, int(other)) for other in new]
+            todo += new.tolist()
+    return out

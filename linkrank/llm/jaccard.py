@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 from pyspark.sql.window import Window
 
-from linkrank.llm.components import components
+from linkrank.llm.components import both, components, forest, list_sizes, packed_groups, pairs_of_blocks
 from linkrank.llm.shingles import mix, shingle_sets
 from linkrank.llm.words import small_batches
 from linkrank.operators.skew import copy_to_splits, hot_keys, hot_limit, split_rows
@@ -284,31 +284,21 @@ def _near_links(buckets: DataFrame, classes: DataFrame, least: Fraction) -> Data
     """
     nth = F.col("band") - F.col("key").bitwiseAND(F.lit((1 << BAND_BITS) - 1)) + 1
     members = buckets.join(classes.select(F.col("class").alias("id"), "n_shingles", "band", "bitmaps"), "id").select(
-        "key", F.struct("id", F.col("n_shingles").alias("size"), F.element_at("bitmaps", nth.cast("int")).alias("bits")).alias("set"))
-    counts = buckets.groupBy("key").count().where(F.col("count") > BUCKET_SETS)
-    large = counts.select("key", F.ceil(F.col("count") / BUCKET_SETS).cast("int").alias("blocks"))
-    if large.isEmpty():
-        rows = members.groupBy("key").agg(F.collect_list("set").alias("sets"))
-        rows = rows.withColumn("others", F.lit(None).cast(rows.schema["sets"].dataType))
-    else:
-        # Only a key of very many sets has several blocks.
-        dealt = members.join(large, "key", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-        dealt = dealt.withColumn("block", F.pmod(F.xxhash64("set.id"), F.col("blocks")).cast("int"))
-        packed = dealt.groupBy("key", "block").agg(F.first("blocks").alias("blocks"), F.collect_list("set").alias("sets"))
-        rows = _pairs_of_blocks(packed, "key")
+        "key", F.struct("id", F.col("n_shingles").alias("size"), F.element_at("bitmaps", nth.cast("int")).alias("bits")).alias("row"))
+    rows = packed_groups(members, BUCKET_SETS, "key")
     least = Fraction(least)
     apart, whole = least.denominator - least.numerator, least.denominator + least.numerator
 
     def linked(batches):
         for batch in batches:
             found_a, found_b = [], []
-            lists = [batch.column(name) for name in ("sets", "others")]
-            ids, sizes, bits = (_both(lists, name) for name in ("id", "size", "bits"))
+            lists = [batch.column(name) for name in ("rows", "others")]
+            ids, sizes, bits = (both(lists, name) for name in ("id", "size", "bits"))
             ids, sizes = ids.to_numpy(), sizes.to_numpy()
             lengths = pa.compute.binary_length(bits).to_numpy().astype(np.int64)
             raw = np.frombuffer(b"".join(bits.to_pylist()), dtype="u1")
             places = np.cumsum(lengths) - lengths
-            counts = sum(_list_sizes(column) for column in lists)
+            counts = sum(list_sizes(column) for column in lists)
             starts = np.cumsum(counts) - counts
 
             def maps(rows):
@@ -331,47 +321,7 @@ def _near_links(buckets: DataFrame, classes: DataFrame, least: Fraction) -> Data
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate([none, *found_a])), pa.array(np.concatenate([none, *found_b]))], names=["a", "b"])
 
-    return rows.select("sets", "others").mapInArrow(linked, "a long, b long").distinct()
-
-
-def _list_sizes(lists: pa.ListArray) -> np.ndarray:
-    return lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-
-
-def _both(lists: list[pa.ListArray], name: str) -> pa.Array:
-    """The field ``name`` of all sets, row by row: those of a row's first list, then those of its second."""
-    parts = [column.flatten().field(name) for column in lists]
-    if not len(parts[1]):
-        return pa.concat_arrays([parts[0]])
-    sizes = [_list_sizes(column) for column in lists]
-    owner = np.concatenate([np.repeat(np.arange(len(size)), size) for size in sizes])
-    return pa.concat_arrays(parts).take(pa.array(np.argsort(owner, kind="stable")))
-
-
-def _pairs_of_blocks(packed: DataFrame, of: str) -> DataFrame:
-    """Rows (sets, others): each block (``of``, block, blocks, sets) alone, and each two of those that belong together."""
-    alone = packed.select("sets", F.lit(None).cast(packed.schema["sets"].dataType).alias("others"))
-    several = packed.where("blocks > 1")
-    left = several.where("block < blocks - 1").withColumn(
-        "other", F.explode(F.sequence(F.col("block") + 1, F.col("blocks") - 1)))
-    right = several.select(of, F.col("block").alias("other"), F.col("sets").alias("others"))
-    return alone.unionByName(left.join(right, [of, "other"]).select("sets", "others"))
-
-
-def _forest(near: np.ndarray) -> list[tuple[int, int]]:
-    """Links that connect what a symmetric matrix of links connects."""
-    left, out = np.ones(len(near), dtype=bool), []
-    for root in range(len(near)):
-        if not left[root]:
-            continue
-        left[root], todo = False, [root]
-        while todo:
-            at = todo.pop()
-            new = np.flatnonzero(near[at] & left)
-            left[new] = False
-            out += [(at, int(other)) for other in new]
-            todo += new.tolist()
-    return out
+    return rows.mapInArrow(linked, "a long, b long").distinct()
 
 
 def _common(sets: list[np.ndarray]) -> np.ndarray:
@@ -450,7 +400,7 @@ def _packed_sets(docs: DataFrame, families: DataFrame, words: int) -> DataFrame:
     found = texts.select("component", "block", "blocks", "id", "f1", "f2", "text").mapInArrow(
         sets, "component long, block int, blocks int, id long, shingles array<long>")
     return found.groupBy("component", "block").agg(
-        F.first("blocks").alias("blocks"), F.collect_list(F.struct("id", "shingles")).alias("sets"))
+        F.first("blocks").alias("blocks"), F.collect_list(F.struct("id", "shingles")).alias("rows"))
 
 
 def _family_links(packed: DataFrame, least: Fraction) -> DataFrame:
@@ -460,21 +410,21 @@ def _family_links(packed: DataFrame, least: Fraction) -> DataFrame:
     compared and as many links come out as connect them. So no two sets are a row of their
     own, however large a group of near copies is. Only families of several blocks are joined.
     """
-    pairs = _pairs_of_blocks(packed, "component")
+    pairs = pairs_of_blocks(packed, "component")
     number, of = least.numerator, least.denominator
 
     def linked(batches):
         for batch in batches:
             found = []
             for row in range(batch.num_rows):
-                blocks = [batch.column(name)[row].values for name in ("sets", "others") if batch.column(name)[row].is_valid]
+                blocks = [batch.column(name)[row].values for name in ("rows", "others") if batch.column(name)[row].is_valid]
                 ids = np.concatenate([block.field("id").to_numpy() for block in blocks])
                 sets = [s.values.to_numpy() for block in blocks for s in block.field("shingles")]
                 sizes = np.fromiter(map(len, sets), dtype=np.int64, count=len(sets))
                 common = _common(sets)
                 near = common * of >= (sizes[:, None] + sizes[None] - common) * number
                 np.fill_diagonal(near, False)
-                found += [(int(ids[i]), int(ids[j])) for i, j in _forest(near)]
+                found += [(int(ids[i]), int(ids[j])) for i, j in forest(near)]
             yield pa.RecordBatch.from_pydict({
                 "a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkrank.llm.components import link_buckets
+from linkrank.llm.components import both, components, forest, list_sizes, packed_groups
 from linkrank.llm.vectors import usable, usable_rows
 from linkrank.session import scratch_folder, stored
 
@@ -96,6 +96,53 @@ def _cell_rows(tables: int, scale: float, probes: int):
     return rows
 
 
+def _cell_links(buckets: DataFrame, classes: DataFrame, least: float) -> DataFrame:
+    """Links (a, b) that connect, within each cell (``key``), all classes of a label with a cosine of at least ``least``.
+
+    A cell's vectors are a row, or a few if there are very many, and then each two of these
+    are one; their cosines are a product of matrices.
+    """
+    named = classes.select(F.col("class").alias("id"), F.col("label").cast("string").alias("label"), "vector")
+    members = buckets.select("key", "id").join(named, "id").select(
+        "key", "label", F.size("vector").alias("dimension"), F.struct("id", "vector").alias("row"))
+    rows = packed_groups(members, BLOCK_ROWS, "key", "label", "dimension")
+
+    def linked(batches):
+        for batch in batches:
+            lists = [batch.column(name) for name in ("rows", "others")]
+            counts = sum(list_sizes(column) for column in lists)
+            starts = np.cumsum(counts) - counts
+            ids, vectors = both(lists, "id").to_numpy(), both(lists, "vector")
+            sizes = vectors.value_lengths().to_numpy().astype(np.int64)
+            values, places = vectors.flatten().to_numpy(), np.cumsum(sizes) - sizes
+            none = np.zeros(0, dtype=np.int64)
+            found_a, found_b = [none], [none]
+
+            def dense(at):
+                taken = values[places[at][:, None] + np.arange(sizes[at[0]])]  # noqa: B023
+                return taken, np.sqrt((taken * taken).sum(axis=1))
+
+            # Most cells have two vectors: all those of one dimension at once.
+            twos = starts[counts == 2]
+            for size in np.unique(sizes[twos]):
+                first = twos[sizes[twos] == size]
+                (one, norms), (two, other_norms) = dense(first), dense(first + 1)
+                near = np.einsum("ij,ij->i", one, two) / (norms * other_norms) >= least
+                found_a.append(ids[first[near]])
+                found_b.append(ids[first[near] + 1])
+            for row in np.flatnonzero(counts > 2):
+                at = np.arange(starts[row], starts[row] + counts[row])
+                dense_rows, norms = dense(at)
+                near = dense_rows @ dense_rows.T / (norms[:, None] * norms[None]) >= least
+                np.fill_diagonal(near, False)
+                links = np.array(forest(near), dtype=np.int64).reshape(-1, 2)
+                found_a.append(ids[at[links[:, 0]]])
+                found_b.append(ids[at[links[:, 1]]])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found_a)), pa.array(np.concatenate(found_b))], names=["a", "b"])
+
+    return rows.mapInArrow(linked, "a long, b long").distinct()
+
+
 def _link_counts(members: DataFrame, least: float) -> DataFrame:
     """For every id the sum of ``size`` of the others in its component with a cosine of at least ``least``.
 
@@ -137,10 +184,9 @@ def near_duplicates(vectors: DataFrame, id_column: str = "vec_id", vector: str =
 
     Vectors link at a cosine of ``least`` or more if their labels are equal and not null.
     Equal vectors of a label are one class, however many there are. Each class is put in its
-    cell of every table and in the neighbouring cells it is nearest to; classes that meet
-    with one of them at home are candidates, verified by cosine until every candidate is
-    linked, refuted or in one component with its partner. Links are then counted within
-    components by blocks. Null, zero and not finite vectors, null labels and null ids link
+    cell of every table and in the neighbouring cells it is nearest to; in a cell that is home
+    to one of them, all that meet are verified by cosine, and as many links come out as
+    connect them. Links are then counted within components by blocks. Null, zero and not finite vectors, null labels and null ids link
     with nothing. Rows that repeat an id count each; all links of an id are added up.
     """
     spark = vectors.sparkSession
@@ -162,26 +208,7 @@ def near_duplicates(vectors: DataFrame, id_column: str = "vec_id", vector: str =
         F.min("id").alias("least"), F.max("id").alias("most"), F.bool_or("home").alias("lived")
     ).where("least < most AND lived").select("key")
     buckets = stored(buckets.join(shared, "key"), f"{folder}/buckets")
-    plain = classes.select("class", F.col("label").alias("of"), "vector")
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        a = plain.select(F.col("class").alias("a"), F.col("of").alias("label_a"), F.col("vector").alias("va"))
-        b = plain.select(F.col("class").alias("b"), F.col("of").alias("label_b"), F.col("vector").alias("vb"))
-        met = pairs.join(a, "a").join(b, "b").where("label_a = label_b").where(F.size("va") == F.size("vb"))
-
-        def kept(batches):
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                good = []
-                for x, y in zip(batch.column("va"), batch.column("vb"), strict=True):
-                    x, y = x.values.to_numpy(), y.values.to_numpy()
-                    good.append(bool((x @ y) / (np.sqrt((x * x).sum()) * np.sqrt((y * y).sum())) >= least))
-                yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
-
-        return met.select("a", "b", "va", "vb").mapInArrow(kept, "a long, b long")
-
-    linked = link_buckets(buckets, verify)
+    linked = components(stored(_cell_links(buckets, classes, least), f"{folder}/links"))
     members = classes.join(linked.withColumnRenamed("id", "class"), "class", "left").withColumn(
         "component", F.coalesce("component", "class"))
     members = stored(members.select(F.col("class").alias("id"), "hash", "size", "vector", "component"), f"{folder}/members")
