@@ -314,6 +314,8 @@ def _near_links(buckets: DataFrame, classes: DataFrame, least: Fraction) -> Data
                 found_b.append(ids[first[near] + 1])
             for row in np.flatnonzero(counts > 2):
                 rows = np.arange(starts[row], starts[row] + counts[row])
+                # By id, so that a group that meets under many keys has the same links under each.
+                rows = rows[np.argsort(ids[rows], kind="stable")]
                 links = np.array(_bitmap_forest(sizes[rows], maps(rows), apart, whole), dtype=np.int64).reshape(-1, 2)
                 found_a.append(ids[rows[links[:, 0]]])
                 found_b.append(ids[rows[links[:, 1]]])
@@ -424,6 +426,8 @@ def _family_links(packed: DataFrame, least: Fraction) -> DataFrame:
                 common = _common(sets)
                 near = common * of >= (sizes[:, None] + sizes[None] - common) * number
                 np.fill_diagonal(near, False)
+                order = np.argsort(ids, kind="stable")
+                ids, near = ids[order], near[order][:, order]
                 found += [(int(ids[i]), int(ids[j])) for i, j in forest(near)]
             yield pa.RecordBatch.from_pydict({
                 "a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})

@@ -132,6 +132,8 @@ def _cell_links(buckets: DataFrame, classes: DataFrame, least: float) -> DataFra
                 found_b.append(ids[first[near] + 1])
             for row in np.flatnonzero(counts > 2):
                 at = np.arange(starts[row], starts[row] + counts[row])
+                # By id, so that a group that meets in many cells has the same links in each.
+                at = at[np.argsort(ids[at], kind="stable")]
                 dense_rows, norms = dense(at)
                 near = dense_rows @ dense_rows.T / (norms[:, None] * norms[None]) >= least
                 np.fill_diagonal(near, False)
