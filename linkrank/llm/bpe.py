@@ -22,11 +22,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from linkrank.llm.lexicon import Lexicon, build
-from linkrank.llm.words import BYTE_LETTERS, chunks, small_batches, vocabulary_text, words
+from linkrank.llm.words import BYTE_LETTERS, chunks, give_memory_back, small_batches, vocabulary_text, words
 
 LEXICON_WORDS = 1 << 16
-COUNTER_WORDS = 150_000
-MEMO_CHUNKS = 120_000
+COUNTER_WORDS = 100_000
+MEMO_CHUNKS = 100_000
 LONG_WORD = 512
 WIDTHS = (8, 16, 32, 64)
 _NEVER = 1 << 60
@@ -325,5 +325,7 @@ def encode_documents(docs: DataFrame, outputs=("ids",), vocabulary: str | None =
                 columns["decoded_sha256"] = pa.array([digest(text.encode()) for text in decoded], pa.string())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), *(columns[name] for name in kinds)], names=["doc_id", *kinds])
+        encoder.ids.clear()
+        give_memory_back()
 
     return docs.select("doc_id", "text").mapInArrow(encoded, schema)

@@ -46,7 +46,7 @@ CHECK_COST = 20.0
 #: What unrelated sets are taken to share when allowances are chosen: one in so many sets has the same passage.
 PASSAGE_SHINGLES = 50
 PASSAGE_SETS = 100
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 19
 RECENT = 1 << 18
 #: Sets and their shingles that are held against each other in one row, and shingles taken at a time.
 BLOCK_SETS = 192

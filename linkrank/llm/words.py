@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import re
 import unicodedata
 from pathlib import Path
@@ -75,3 +77,11 @@ def small_batches(batches, column: str, limit: int = BATCH_BYTES):
             total += size or 0
         if start < len(sizes):
             yield batch.slice(start)
+    give_memory_back()
+
+
+def give_memory_back() -> None:
+    """What a task no longer needs goes back to the system: its worker lives on and others need room beside it."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
