@@ -27,6 +27,8 @@ from linkrank.llm.words import BYTE_LETTERS, chunks, give_memory_back, small_bat
 LEXICON_WORDS = 1 << 16
 COUNTER_WORDS = 100_000
 MEMO_CHUNKS = 100_000
+#: Texts that are split into pieces at a time.
+BATCH_BYTES = 1 << 20
 LONG_WORD = 512
 WIDTHS = (8, 16, 32, 64)
 _NEVER = 1 << 60
@@ -253,7 +255,7 @@ def _count_words(batches):
         return pa.RecordBatch.from_pydict(
             {"word": pa.array(list(found), pa.string()), "n": pa.array(list(found.values()), pa.int64())})
 
-    for batch in small_batches(batches, "text"):
+    for batch in small_batches(batches, "text", BATCH_BYTES):
         for text in batch.column("text").to_pylist():
             seen.update(chunks(text or "") or ())
         if len(seen) > COUNTER_WORDS:
@@ -310,7 +312,7 @@ def encode_documents(docs: DataFrame, outputs=("ids",), vocabulary: str | None =
         encoder = _encoder(shared.value, file)
         decode = encoder.merges.decode
         digest = lambda raw: hashlib.sha256(raw).hexdigest()
-        for batch in small_batches(batches, "text"):
+        for batch in small_batches(batches, "text", BATCH_BYTES):
             ids = encoder.encode(batch.column("text").to_pylist())
             columns = {"n_tokens": pa.array([len(of_text) for of_text in ids], pa.int64())}
             if "ids" in kinds:
