@@ -44,12 +44,13 @@ def _rename(spark: SparkSession, old: str, new: str) -> None:
         raise OSError(f"{old} could not be renamed to {new}")
 
 
-def replace(spark: SparkSession, path: str, write: Callable[[str], None], mark: str | None = None) -> None:
+def replace(spark: SparkSession, path: str, write: Callable[[str], None],
+            mark: str | Callable[[], str] | None = None) -> None:
     """Let ``write`` fill a folder beside ``path``, then put that in the place of ``path``.
 
     What ``path`` holds stays until then, so it can be read while its successor is written,
     and a write that fails leaves it as it was. With ``mark`` a file of that text is added
-    when all else is in place.
+    when all else is in place; a function is asked for it then.
     """
     path = path.rstrip("/")
     aside, before = _beside(path, "new"), _beside(path, "old")
@@ -65,7 +66,7 @@ def replace(spark: SparkSession, path: str, write: Callable[[str], None], mark:
     if mark is not None:
         store, named = _opened(spark, f"{path}/{MARK}")
         stream = store.create(named, True)
-        stream.write(bytearray(mark.encode()))
+        stream.write(bytearray((mark() if callable(mark) else mark).encode()))
         stream.close()
     if had:
         remove(spark, before)

@@ -81,7 +81,7 @@ def rank_tables(graph: LinkGraph, hot_rows: int = HOT_ROWS, layout: str | None =
         graph = store_graph(graph, scratch[0])
     if layout is None:
         scratch.append(scratch_folder(graph.edges.sparkSession, "tables"))
-        made = _laid_out(graph, hot_rows, scratch[-1])
+        made = _laid_out(graph, hot_rows, scratch[-1], scratch[-1])
         # Both tables are written before they are kept in memory: what an executor loses is
         # then read and shuffled again, not joined and counted again.
         keep = lambda df, keys: _kept(df, keys) if made.buckets else df.persist()
@@ -95,8 +95,11 @@ def rank_tables(graph: LinkGraph, hot_rows: int = HOT_ROWS, layout: str | None =
     return replace(tables, scratch=tuple(scratch))
 
 
-def _laid_out(graph: LinkGraph, hot_rows: int, folder: str) -> RankTables:
-    """The tables as plain files below ``folder``; ``buckets`` is how many each is worth, 0 for a small graph."""
+def _laid_out(graph: LinkGraph, hot_rows: int, folder: str, work: str, as_buckets: bool = False) -> RankTables:
+    """The tables as files below ``folder``, plain or in buckets; helper tables go below ``work``.
+
+    ``buckets`` is how many each table is worth, 0 for a small graph, which is always plain.
+    """
     nodes, edges = graph.nodes, graph.edges
     spark = nodes.sparkSession
     facts = nodes.agg(
@@ -112,8 +115,9 @@ def _laid_out(graph: LinkGraph, hot_rows: int, folder: str) -> RankTables:
     if facts["keys"] < facts["n"]:
         # A repeated title, or two titles with one hash.
         require_unique_titles(nodes)
-        vertices, ends = _with_other_ids(vertices, edges, folder)
-    live = _live_edges(vertices, ends, limit if is_large else None, folder)
+        vertices, ends = _with_other_ids(vertices, edges, work)
+    live = _live_edges(vertices, ends, limit if is_large else None, work)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions")) if is_large else 0
     keys = ["src"]
     if facts["most"] > limit:
         keys = ["src", "split"]
@@ -121,13 +125,13 @@ def _laid_out(graph: LinkGraph, hot_rows: int, folder: str) -> RankTables:
         live = split_rows(live, "src", "dst", hot_sources)
         splits = F.greatest(F.ceil(F.col("out_degree") / F.lit(limit)), F.lit(1)).cast("int")
         vertices = vertices.withColumn("splits", splits)
-    live = stored(live, f"{folder}/edges")
+    written = _stored_in_buckets if as_buckets and buckets else lambda df, path, *_: stored(df, path)
+    live = written(live, f"{folder}/edges", keys, buckets)
     live_degrees = live.groupBy(F.col("src").alias("id")).agg(F.count("*").alias("live_degree"))
     vertices = vertices.join(live_degrees, "id", "left").withColumn(
         "live_degree", F.coalesce("live_degree", F.lit(0))
     )
-    vertices = stored(vertices, f"{folder}/vertices")
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions")) if is_large else 0
+    vertices = written(vertices, f"{folder}/vertices", ["id"], buckets)
     return RankTables(vertices, live, keys, facts["n"], buckets)
 
 
@@ -170,28 +174,34 @@ def _store_layout(graph: LinkGraph, hot_rows: int, path: str, wanted: str) -> No
     """Write the tables of ``graph`` below ``path``: as buckets if it is large, with their facts in the mark."""
     spark = graph.nodes.sparkSession
     work = scratch_folder(spark, "layout")
-    made = _laid_out(graph, hot_rows, work)
-    facts = {
-        "graph": wanted, "keys": made.keys, "n": made.n_vertices, "buckets": made.buckets,
-        "vertices": _columns(made.vertices), "edges": _columns(made.edges),
-    }
+    facts = {}
 
     def write(folder: str) -> None:
-        for name, keys in (("vertices", ["id"]), ("edges", made.keys)):
-            table = getattr(made, name)
-            if not made.buckets:
-                table.write.parquet(f"{folder}/{name}")
-                continue
-            # A task has one bucket, so each bucket is one file. The name is only needed to write.
-            alias = _table_name()
-            dealt = table.repartition(made.buckets, *keys).write.bucketBy(made.buckets, *keys).sortBy(*keys)
-            dealt.option("path", f"{folder}/{name}").format("parquet").saveAsTable(alias)
-            spark.sql(f"DROP TABLE {alias}")
-
-    folders.replace(spark, path, write, json.dumps(facts))
+        made = _laid_out(graph, hot_rows, folder, work, as_buckets=True)
+        facts.update({
+            "graph": wanted, "keys": made.keys, "n": made.n_vertices, "buckets": made.buckets,
+            "vertices": _columns(made.vertices), "edges": _columns(made.edges),
+        })
+
+    folders.replace(spark, path, write, lambda: json.dumps(facts))
     drop_scratch(spark, work)
 
 
+def _stored_in_buckets(table: DataFrame, path: str, keys: list[str], buckets: int) -> DataFrame:
+    """Write ``table`` to ``path`` as that many buckets and read its files back.
+
+    Rows are not sorted here: Spark would sort by bucket and key, row against row, while
+    ``_opened`` sorts by the key alone, for what it keeps.
+    """
+    spark = table.sparkSession
+    # A task has whole buckets, so each bucket is one file. The name is only needed to write.
+    alias = _table_name()
+    dealt = table.repartition(buckets, *keys).write.bucketBy(buckets, *keys)
+    dealt.option("path", path).format("parquet").saveAsTable(alias)
+    spark.sql(f"DROP TABLE {alias}")
+    return spark.read.schema(table.schema).parquet(path)
+
+
 def _opened(spark: SparkSession, path: str, wanted: str) -> RankTables | None:
     """The layout at ``path``, if there is a complete one of the ``wanted`` graph."""
     facts = json.loads(folders.mark_of(spark, path) or "{}")
@@ -205,7 +215,7 @@ def _opened(spark: SparkSession, path: str, wanted: str) -> RankTables | None:
             continue
         names.append(_table_name())
         place, by = folder.replace("\\", "\\\\").replace("'", "\\'"), ", ".join(keys)
-        spark.sql(f"CREATE TABLE {names[-1]} ({facts[name]}) USING parquet CLUSTERED BY ({by}) SORTED BY ({by}) "
+        spark.sql(f"CREATE TABLE {names[-1]} ({facts[name]}) USING parquet CLUSTERED BY ({by}) "
                   f"INTO {facts['buckets']} BUCKETS LOCATION '{place}'")
         opened[name] = spark.table(names[-1]).sortWithinPartitions(*keys).persist(StorageLevel.MEMORY_AND_DISK)
     return RankTables(opened["vertices"], opened["edges"], facts["keys"], facts["n"], facts["buckets"], wanted,

@@ -8,8 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import linkrank as lr
+from linkrank.operators import ranking
 from linkrank.operators.ranking import initial_state, messages
-from linkrank.sources.snapshots import iteration_name
+from linkrank.sources.snapshots import iteration_name, layout_path
 
 EDGES = [tuple(pair) for pair in "AB AC BC CA DC DZ EE EA ED FA".split()]
 
@@ -228,3 +229,21 @@ def test_messages_are_sent_along_live_edges_only(graph):
     tables = lr.rank_tables(graph)
     assert messages(tables, initial_state(tables, 1.0)).count() == 9
     tables.release()
+
+
+def test_layout_is_made_once_and_opened_as_it_was_stored(spark, graph, tmp_path, monkeypatch):
+    made = []
+    lay_out = ranking._laid_out
+    monkeypatch.setattr(ranking, "_laid_out", lambda *a, **k: made.append(lay_out(*a, **k)) or made[-1])
+    base = str(tmp_path)
+    lr.pagerank_log(graph, 2, base_path=base, hot_rows=2)
+    tables = lr.rank_tables(graph, 2, layout_path(base))
+    assert len(made) == 1
+    # What the layout was made from are its own buckets, not plain files that were written first.
+    assert all("/_layout-new-" in file for file in made[0].edges.inputFiles())
+    assert tables.buckets and tables.edges.count() == 9
+    degrees = {row["title"]: (row["out_degree"], row["live_degree"]) for row in tables.vertices.collect()}
+    assert degrees == {"A": (2, 2), "B": (1, 1), "C": (1, 1), "D": (2, 1), "E": (3, 3), "F": (1, 1)}
+    state = initial_state(tables, 1 / 6)
+    assert lr.missing_mass(state).first()[0] == pytest.approx(MISSING[1], abs=1e-10)
+    tables.release()

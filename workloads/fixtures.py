@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkrank import LinkGraph, build_graph, store_graph
-from linkrank.session import scratch_folder
+from linkrank.session import scratch_folder, stored
 
 # One wiki page record per row of `part`: the expression reads the same in both engines.
 # It reaches every fate of a page and the main link rules, and repeats titles.
@@ -57,23 +57,57 @@ def wiki_dump(spark: SparkSession, sf_dir: str, compression: str = "none") -> st
     return path
 
 
-def succession_raw(spark: SparkSession, sf_dir: str, closed: bool = False) -> DataFrame:
-    """``src, dst``: from the part on one line of an order to the part on the next line.
+def succession_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``src, dst, returned``: from the part on one line of an order to the part on the next line, by number.
 
-    Unless ``closed``, only returned lines lead on, so some targets are no source.
+    ``returned`` tells whether the first of the two lines was.
     """
     lines = table(spark, sf_dir, "lineitem")
-    first = lines if closed else lines.where("l_returnflag = 'R'")
-    first = first.select(
+    first = lines.select(
         "l_orderkey",
         (F.col("l_linenumber") + 1).alias("l_linenumber"),
-        F.col("l_partkey").cast("string").alias("src"),
+        F.col("l_partkey").alias("src"),
+        (F.col("l_returnflag") == "R").alias("returned"),
     )
-    second = lines.select(
-        "l_orderkey", "l_linenumber", F.col("l_partkey").cast("string").alias("dst")
-    )
-    return first.join(second, ["l_orderkey", "l_linenumber"]).select("src", "dst")
+    second = lines.select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("dst"))
+    return first.join(second, ["l_orderkey", "l_linenumber"]).select("src", "dst", "returned")
+
+
+def titles(pairs: DataFrame) -> DataFrame:
+    """``src, dst``: the numbers of parts as titles."""
+    return pairs.select(F.col("src").cast("string").alias("src"), F.col("dst").cast("string").alias("dst"))
+
+
+def succession_raw(spark: SparkSession, sf_dir: str, closed: bool = False) -> DataFrame:
+    """``src, dst``: from the part on one line of an order to the part on the next line.
+
+    Unless ``closed``, only returned lines lead on, so some targets are no source.
+    """
+    pairs = succession_pairs(spark, sf_dir)
+    return titles(pairs if closed else pairs.where("returned"))
 
 
 def succession_graph(spark: SparkSession, sf_dir: str, closed: bool = False) -> LinkGraph:
     return store_graph(build_graph(succession_raw(spark, sf_dir, closed)))
+
+
+def succession_graphs(spark: SparkSession, sf_dir: str) -> dict[str, LinkGraph]:
+    """The ``open`` and the ``closed`` graph of the lines, from one join and one deduplication.
+
+    The links of the open one are those of the closed one that some returned line made; they
+    have a folder of their own. Parts are stored as numbers and read as titles.
+    """
+    path = scratch_folder(spark, "graphs")
+    links = succession_pairs(spark, sf_dir).groupBy("src", "dst").agg(
+        F.coalesce(F.max("returned"), F.lit(False)).alias("returned")
+    )
+    links.write.partitionBy("returned").parquet(f"{path}/edges")
+    edges = spark.read.schema(links.schema).parquet(f"{path}/edges")
+    degrees = edges.groupBy("src").agg(F.count_if("returned").alias("open"), F.count("*").alias("closed"))
+    nodes = stored(degrees.select(F.col("src").cast("string").alias("title"), "open", "closed"), f"{path}/nodes")
+
+    def graph(name: str, links: DataFrame) -> LinkGraph:
+        sources = nodes.where(F.col(name) > 0).select("title", F.col(name).alias("out_degree"))
+        return LinkGraph(sources, titles(links), is_stored=True)
+
+    return {"open": graph("open", edges.where("returned")), "closed": graph("closed", edges)}

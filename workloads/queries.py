@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +18,7 @@ from linkrank.operators.ranking import initial_state, jump_or_follow
 from linkrank.session import scratch_folder, stored
 from workloads.fixtures import (
     succession_graph,
+    succession_graphs,
     succession_raw,
     table,
     wiki_dump,
@@ -284,23 +288,28 @@ def pagerank_phase2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mass.select("title", F.round(safe_ln(rank), DIGITS).alias("log_rank"))
 
 
+def _missing_masses(spark: SparkSession, name: str, graph: lr.LinkGraph) -> DataFrame:
+    """``graph, iteration, missing_mass`` of each iteration of one graph."""
+    base = scratch_folder(spark, "ranks")
+    lr.pagerank_log(graph, ITERATIONS - 1, base_path=base)
+    states = [lr.read_ranks(spark, base, i) for i in range(2, ITERATIONS + 1)]
+    # The first iteration starts from the same vertices, with equal ranks.
+    first = states[0].withColumn("rank", F.lit(1 / max(states[0].count(), 1)))
+    rows = [
+        lr.missing_mass(state).select(
+            F.lit(name).alias("graph"), F.lit(iteration).alias("iteration"), rounded("missing_mass")
+        )
+        for iteration, state in enumerate([first, *states], 1)
+    ]
+    return reduce(DataFrame.unionAll, rows)
+
+
 def missing_mass(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = None
-    for name, closed in (("open", False), ("closed", True)):
-        graph = succession_graph(spark, sf_dir, closed)
-        base = scratch_folder(spark, "ranks")
-        lr.pagerank_log(graph, ITERATIONS - 1, base_path=base)
-        tables = lr.rank_tables(graph)
-        first = initial_state(tables, 1 / tables.n_vertices)
-        states = [stored(first, scratch_folder(spark, "state"))]
-        tables.release()
-        states += [lr.read_ranks(spark, base, i) for i in range(2, ITERATIONS + 1)]
-        for iteration, state in enumerate(states, 1):
-            row = lr.missing_mass(state).select(
-                F.lit(name).alias("graph"), F.lit(iteration).alias("iteration"), rounded("missing_mass")
-            )
-            rows = row if rows is None else rows.unionAll(row)
-    return rows
+    graphs = succession_graphs(spark, sf_dir)
+    # Both graphs are ranked at once: the short stages of one leave executors to the other.
+    with ThreadPoolExecutor(len(graphs)) as pool:
+        runs = [pool.submit(inheritable_thread_target(_missing_masses), spark, *item) for item in graphs.items()]
+    return reduce(DataFrame.unionAll, [run.result() for run in runs])
 
 
 def pagerank_basic(spark: SparkSession, sf_dir: str) -> DataFrame:
